@@ -9,6 +9,7 @@ offset); pieces get their rank within their length and look their run up.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,26 +24,81 @@ CAPACITY = 4096
 #: Width of a length bin of the pattern fit, in tokens; a bin stands for its upper end.
 BIN = 8
 #: Most words whose ids a worker keeps, and the longest (in bytes) that it keeps.
-CACHE_WORDS, CACHE_BYTES = 300_000, 40
+CACHE_WORDS, CACHE_BYTES = 400_000, 40
+#: ASCII marks that are peeled off the end of a word. The apostrophe is not one of them:
+#: the tokenizer reads it together with the letters after it.
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
 
 
-def token_ids(tokenizer, words: list[bytes], known: dict[bytes, bytes]) -> bytes:
-    """Ids of a text's words as little-endian 32-bit numbers.
+def _ends_in_letter(word: bytes) -> bool:
+    """Whether a mark after the word starts a token of its own once the tokenizer has normalized it."""
+    if not word or word[-1] < 128:
+        return word[-1:].isalnum()
+    return unicodedata.normalize("NFC", word.decode()).lower()[-1].isalnum()
 
-    ``known`` holds the ids of words met before. The tokenizer drops white space and no
-    merge crosses it, so a text's ids are its words' ids one after the other.
+
+class WordIds:
+    """Ids of words, remembered.
+
+    The tokenizer drops white space, reads ASCII letters in lower case, and never merges a
+    run of letters with a mark beside it. So a text's ids are its words' ids one after the
+    other, and a word's are those of its letters and of its trailing marks. Letter runs new
+    to a text are encoded together; each ends with the one token that closes a word.
     """
-    new = [w for w in dict.fromkeys(words) if w not in known]
-    long_words: dict[bytes, bytes] = {}
-    if new:
-        if len(known) + len(new) > CACHE_WORDS:
-            known.clear()
-            new = list(dict.fromkeys(words))
-        for w, got in zip(new, tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)):
-            (known if len(w) <= CACHE_BYTES else long_words)[w] = np.array(got.ids, dtype="<u4").tobytes()
-    if long_words:
-        return b"".join([long_words[w] if w in long_words else known[w] for w in words])
-    return b"".join([known[w] for w in words])
+
+    def __init__(self, path: str) -> None:
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        self.closes[[k for token, k in vocab.items() if token.endswith("</w>")]] = True
+        self.words: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+
+    def _learn(self, new: list[bytes]) -> None:
+        letters = [p for p in new if p.decode().isalpha()]
+        ids = self._encode(b" ".join(letters).decode()) if letters else np.zeros(0, dtype="<u4")
+        ends = (np.nonzero(self.closes[ids])[0] + 1).tolist()
+        raw = ids.tobytes()
+        if len(ends) == len(letters):
+            self.parts.update((p, raw[4 * i : 4 * j]) for p, i, j in zip(letters, [0, *ends], ends))
+        for p in new:
+            if p not in self.parts:
+                self.parts[p] = self._encode(p.decode()).tobytes()
+
+    def __call__(self, text: str | None) -> bytes:
+        """Ids of a text as little-endian 32-bit numbers."""
+        if text and "<|" in text:  # may spell a special token, which case and marks belong to
+            return self._encode(text).tobytes()
+        words = text.encode().lower().split() if text else []
+        known = self.words
+        if missing := [w for w in set(words) if w not in known]:
+            if len(known) > CACHE_WORDS or len(self.parts) > CACHE_WORDS:
+                known.clear()
+                self.parts.clear()
+                missing = list(set(words))
+            split: list[tuple[bytes, bytes, bytes]] = []
+            for w in missing:
+                core = w.rstrip(MARKS)
+                if len(core) < len(w) and _ends_in_letter(core):
+                    split.append((w, core, w[len(core) :]))
+                else:
+                    split.append((w, w, b""))
+            new = {p for _, core, mark in split for p in (core, mark) if p and p not in self.parts}
+            if new:
+                self._learn(list(new))
+            for w, core, mark in split:
+                known[w] = self.parts[core] + (self.parts[mark] if mark else b"")
+        ids = b"".join([known[w] for w in words])
+        for w in missing:
+            if len(w) > CACHE_BYTES:
+                self.parts.pop(w, None)
+                del known[w]
+        return ids
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 1, with_ids: bool = False) -> DataFrame:
@@ -57,14 +113,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        from tokenizers import Tokenizer
-
-        tokenizer, known = Tokenizer.from_file(tokenizer_path), {}
+        ids_of = WordIds(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             out: list[list] = [[] for _ in range(5 + with_ids)]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = token_ids(tokenizer, (text.as_py() or "").encode().split(), known) + end
+                ids = ids_of(text.as_py()) + end
                 for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     row = [doc_id, k, at // 4, len(part) // 4, zlib.crc32(part)]
