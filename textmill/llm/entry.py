@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, simhash
+from . import decontamination, language_id, packing, pii, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,11 @@ def queries() -> dict[str, Query]:
     return {
         "op1_simhash": simhash.op1_simhash,
         "op3_packing": packing.op3_packing,
+        "op4_sharding": sharding.op4_sharding,
+        "op5_language_id": language_id.op5_language_id,
+        "op8_pii": pii.op8_pii,
+        "op9_decontamination": decontamination.op9_decontamination,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
