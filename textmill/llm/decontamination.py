@@ -90,12 +90,13 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     proposed = index.join(small(seeds, n_windows), (F.col("term") == F.col("anchor")) & beside & (F.col("pos") >= F.col("at"))).select(
         F.col("key").alias("doc_key"), (F.col("pos") - F.col("at")).alias("start"), F.xxhash64("words").alias("window"), F.size("words").alias("n")
     )
-    # Per document: the starts to look at, each with the windows that may begin there.
-    by_doc = proposed.groupBy("doc_key").agg(F.collect_set(F.struct("start", "n", "window")).alias("starts"))
-    seen = words.join(by_doc, F.col("key") == F.col("doc_key"))
+    # Per text: the starts to look at, each with the windows that may begin there.
+    by_text = stash(proposed.groupBy("doc_key").agg(F.collect_set(F.struct("start", "n", "window")).alias("starts")), "bench-proposed")
+    seen = words.join(by_text, F.col("key") == F.col("doc_key"))
     exact = F.filter("starts", lambda s: F.xxhash64(F.slice("w", s.start + 1, s.n)) == s.window)
-    checked = seen.dropDuplicates(["key"]).select("key", exact.alias("hits")).where(F.size("hits") > 0)
-    checked = stash(checked, "bench-hits")
+    # Stored before copies are reduced, so that the join's hot keys can be split.
+    copies = stash(seen.select("key", exact.alias("hits")).where(F.size("hits") > 0), "bench-hits")
+    checked = stash(copies.groupBy("key").agg(F.first("hits").alias("hits")), "bench-hits-once")
     spans = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.struct(h.start.alias("start"), (h.start + h.n).alias("end")))))
     owners = distinct.select(F.xxhash64("words").alias("window"), "items")
     per_item = (
@@ -104,7 +105,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
         .groupBy("key")
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     )
-    return checked.select("key", spans.alias("spans")).join(per_item, "key")
+    return stash(checked.select("key", spans.alias("spans")).join(per_item, "key"), "bench-matches")
 
 
 def covered(spans: Column) -> Column:
