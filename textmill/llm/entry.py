@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_id, packing, pii, sharding, simhash, toxicity
+from . import decontamination, language_id, language_model, packing, pii, quality, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,8 @@ def queries() -> dict[str, Query]:
         "op3_packing": packing.op3_packing,
         "op4_sharding": sharding.op4_sharding,
         "op5_language_id": language_id.op5_language_id,
+        "op6_quality": quality.op6_quality,
+        "op7_language_model": language_model.op7_language_model,
         "op8_pii": pii.op8_pii,
         "op9_decontamination": decontamination.op9_decontamination,
         "op10_toxicity": toxicity.op10_toxicity,
