@@ -125,14 +125,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     Adds n_words, n_hit, items (sorted ids as strings) and spans (word positions). Texts are
     matched once however often they repeat. Null and empty texts have no words and no hits.
     """
-    keyed = docs.withColumn("__key", F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+    digest = F.substr(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256), F.lit(1), F.lit(32))
+    keyed = docs.withColumn("__key", F.unhex(digest)).withColumn("__n_words", F.size(match_words(F.col("text"))).cast("long"))
     found = phrase_matches(
         keyed.where("text IS NOT NULL").select(F.col("__key").alias("key"), F.col("text")), benchmark, size
     ).select(F.col("key").alias("__found"), F.col("spans").alias("__spans"), F.col("items").alias("__items"))
     joined = keyed.join(found, F.col("__key") == F.col("__found"), "left")
     return joined.select(
         *docs.columns,
-        F.size(match_words(F.col("text"))).cast("long").alias("__n_words"),
+        "__n_words",
         F.coalesce(covered(F.col("__spans")), F.lit(0)).cast("long").alias("__n_hit"),
         F.coalesce("__items", F.expr("cast(array() as array<string>)")).alias("__items"),
         F.col("__spans"),
