@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, language_id, language_model, packing, pii, quality, sharding, simhash, toxicity
+from . import decontamination, html_text, language_id, language_model, packing, pii, quality, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -14,6 +14,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_simhash": simhash.op1_simhash,
+        "op2_html_text": html_text.op2_html_text,
         "op3_packing": packing.op3_packing,
         "op4_sharding": sharding.op4_sharding,
         "op5_language_id": language_id.op5_language_id,
