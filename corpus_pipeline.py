@@ -9,12 +9,66 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from textmill.llm.common import stash
+from textmill.llm import decontamination, packing, pii, quality, simhash
+from textmill.llm.common import stash, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the hard limits and their language's certified cutoff."""
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near copies: the one with the least doc_id.
+
+    Rows that share the id are told apart by a row number, so exactly one row stays. Groups
+    whose ids are all null keep one row too.
+    """
+    numbered = stash(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup-docs")
+    groups = simhash.near_duplicates(numbered.select(F.col("__row").alias("doc_id"), "text")).withColumnsRenamed({"doc_id": "__id", "component_id": "__group"})
+    ids = numbered.select(F.col("__row").alias("__doc_row"), F.col("doc_id").alias("__doc_id"))
+    placed = groups.join(ids, groups["__id"] == ids["__doc_row"])
+    # The least (null last, doc_id, row) of each group is a partial aggregate: no group is gathered.
+    first = placed.groupBy("__group").agg(F.min(F.struct(F.col("__doc_id").isNull(), "__doc_id", "__doc_row")).alias("__first"))
+    kept = stash(first.select(F.col("__first.__doc_row").alias("__keep")), "dedup-kept")
+    return numbered.join(kept, numbered["__row"] == kept["__keep"], "left_semi").select(*docs.columns)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark window."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.col("__n_hit") == 0).select(*docs.columns)
+
+
+def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal spans replaced by their kind; n_chars follows the text."""
+    found = docs.withColumn("__spans", pii.personal_spans(F.col("text")))
+    clean = found.withColumn("text", pii.redact(F.col("text"), F.col("__spans")))
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        length = F.length("text").cast(kind)
+        clean = clean.withColumn("n_chars", F.when(F.size("__spans") > 0, length).otherwise(F.col("n_chars")))
+    return clean.select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents in sequences of at most 4096 tokens."""
+    import public_tokenizers
+
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_quality),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_benchmark),
+    ("pii", redact_personal),
+    ("packing", pack_sequences),
+]
 
 #: The stages hash, tokenize and pack; SQL has no form for them, so tests check each stage.
 ORACLE_SQL: str | None = None
