@@ -9,6 +9,8 @@ offset); pieces get their rank within their length and look their run up.
 
 from __future__ import annotations
 
+import sys
+import types
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,7 +26,7 @@ CAPACITY = 4096
 #: Width of a length bin of the pattern fit, in tokens; a bin stands for its upper end.
 BIN = 8
 #: Most words whose ids a worker keeps, and the longest (in bytes) that it keeps.
-CACHE_WORDS, CACHE_BYTES = 400_000, 40
+CACHE_WORDS, CACHE_BYTES = 600_000, 40
 #: ASCII marks that are peeled off the end of a word. The apostrophe is not one of them:
 #: the tokenizer reads it together with the letters after it.
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[]^_`{|}~"
@@ -47,60 +49,75 @@ class WordIds:
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same model for words that need no normalizing and no splitting. It meets a
+        # word once, so the model's own word cache would only cost time.
+        plain = Tokenizer.from_file(path)
+        self.plain = Tokenizer(plain.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        self.plain.model._resize_cache(0)
         vocab = self.tokenizer.get_vocab(with_added_tokens=True)
         self.closes = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.closes[[k for token, k in vocab.items() if token.endswith("</w>")]] = True
-        self.words: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, new: list[bytes]) -> None:
-        letters = [p for p in new if p.decode().isalpha()]
-        ids = self._encode(b" ".join(letters).decode()) if letters else np.zeros(0, dtype="<u4")
+    def _learn(self, new: set[bytes]) -> None:
+        words = [(p, p.decode()) for p in new]
+        letters = [p for p, w in words if w.isalpha() and (len(p) == len(w) or (w == w.lower() and unicodedata.is_normalized("NFC", w)))]
+        ids = np.array(self.plain.encode_batch_fast([b" ".join(letters).decode()], add_special_tokens=False)[0].ids, dtype="<u4")
         ends = (np.nonzero(self.closes[ids])[0] + 1).tolist()
         raw = ids.tobytes()
         if len(ends) == len(letters):
-            self.parts.update((p, raw[4 * i : 4 * j]) for p, i, j in zip(letters, [0, *ends], ends))
+            self.known.update((p, raw[4 * i : 4 * j]) for p, i, j in zip(letters, [0, *ends], ends))
+            new.difference_update(letters)
         for p in new:
-            if p not in self.parts:
-                self.parts[p] = self._encode(p.decode()).tobytes()
+            self.known[p] = self._encode(p.decode()).tobytes()
 
     def __call__(self, text: str | None) -> bytes:
         """Ids of a text as little-endian 32-bit numbers."""
         if text and "<|" in text:  # may spell a special token, which case and marks belong to
             return self._encode(text).tobytes()
         words = text.encode().lower().split() if text else []
-        known = self.words
-        if missing := [w for w in set(words) if w not in known]:
-            if len(known) > CACHE_WORDS or len(self.parts) > CACHE_WORDS:
-                known.clear()
-                self.parts.clear()
-                missing = list(set(words))
-            split: list[tuple[bytes, bytes, bytes]] = []
-            for w in missing:
-                core = w.rstrip(MARKS)
-                if len(core) < len(w) and _ends_in_letter(core):
-                    split.append((w, core, w[len(core) :]))
-                else:
-                    split.append((w, w, b""))
-            new = {p for _, core, mark in split for p in (core, mark) if p and p not in self.parts}
-            if new:
-                self._learn(list(new))
-            for w, core, mark in split:
-                known[w] = self.parts[core] + (self.parts[mark] if mark else b"")
-        ids = b"".join([known[w] for w in words])
+        known = self.known
+        got = list(map(known.get, words))
+        if None not in got:
+            return b"".join(got)
+        missing = {w for w, g in zip(words, got) if g is None}
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        split = []
+        for w in missing:
+            core = w.rstrip(MARKS)
+            if len(core) < len(w) and _ends_in_letter(core):
+                split.append((w, core, w[len(core) :]))
+        new = missing.difference([w for w, _, _ in split])
+        new.update([p for _, *parts in split for p in parts if p not in known])
+        if new:
+            self._learn(new)
+        for w, core, mark in split:
+            known[w] = known[core] + known[mark]
+        ids = b"".join([known[w] if g is None else g for w, g in zip(words, got)])
         for w in missing:
             if len(w) > CACHE_BYTES:
-                self.parts.pop(w, None)
                 del known[w]
         return ids
 
 
+def worker_ids(path: str) -> WordIds:
+    """The worker process's tokenizer: tasks that follow each other share its words."""
+    held = sys.modules.setdefault("_textmill_worker", types.ModuleType("_textmill_worker")).__dict__
+    if path not in held:
+        held[path] = WordIds(path)
+    return held[path]
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = 1, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every row of ``docs`` (doc_id, text).
 
@@ -113,7 +130,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zlib
 
-        ids_of = WordIds(tokenizer_path)
+        ids_of = worker_ids(tokenizer_path)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             out: list[list] = [[] for _ in range(5 + with_ids)]
