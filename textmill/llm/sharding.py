@@ -70,32 +70,33 @@ def partition_groups(groups: DataFrame, shards: int, buckets: int) -> DataFrame:
     """(key, shard) for every row of ``groups`` (key string, weight long); keys are distinct."""
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = pa.Table.from_batches(list(batches)) if batches else None
-        if held is None or not held.num_rows:
-            return
-        held = held.sort_by([("bucket", "ascending"), ("weight", "descending"), ("key", "ascending")])
-        buckets_, weights, keys = (held.column(n).to_pylist() for n in ("bucket", "weight", "key"))
-        at = 0
-        while at < len(keys):
-            end = at
-            while end < len(keys) and buckets_[end] == buckets_[at]:
-                end += 1
-            own, sums = differencing([(w,) for w in weights[at:end]], shards)
-            yield pa.RecordBatch.from_arrays(
+        def settle(bucket: int, rows: list[tuple[str, int]]) -> pa.RecordBatch:
+            own, sums = differencing([(w,) for _, w in rows], shards)
+            return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([buckets_[at]] * (end - at), pa.int32()),
-                    pa.array(keys[at:end]),
+                    pa.array([bucket] * len(rows), pa.int32()),
+                    pa.array([k for k, _ in rows], pa.string()),
                     pa.array([x[0] for x in own], pa.int32()),
-                    pa.array([sums if k == 0 else None for k in range(end - at)], pa.list_(pa.int64())),
+                    pa.array([sums if k == 0 else None for k in range(len(rows))], pa.list_(pa.int64())),
                 ],
                 names=["bucket", "key", "part", "sums"],
             )
-            at = end
+
+        now, rows = None, []
+        for batch in batches:
+            for bucket, key, weight in zip(*(batch.column(n).to_pylist() for n in ("bucket", "key", "weight"))):
+                if bucket != now and rows:
+                    yield settle(now, rows)
+                    rows = []
+                now = bucket
+                rows.append((key, weight))
+        if rows:
+            yield settle(now, rows)
 
     spark = groups.sparkSession
     dealt = groups.select("key", "weight", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket"))
     local = stash(
-        dealt.repartition("bucket").mapInArrow(inside, "bucket int, key string, part int, sums array<long>"), "shard-parts"
+        dealt.repartition("bucket").sortWithinPartitions("bucket", F.desc("weight"), "key").mapInArrow(inside, "bucket int, key string, part int, sums array<long>"), "shard-parts"
     )
     # One vector for each bucket: at most MOST_BUCKETS rows of ``shards`` numbers.
     vectors = sorted((r.bucket, list(r.sums)) for r in local.where("sums IS NOT NULL").select("bucket", "sums").collect())
