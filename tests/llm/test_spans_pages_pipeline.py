@@ -1,0 +1,211 @@
+import hashlib
+import html as html_lib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from textmill.llm import decontamination, html_text, pii
+from textmill.llm.common import table
+
+BASE = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def valid(kind, match):
+    digits = re.sub("[^0-9]", "", match)
+    if kind == "ip":
+        return all(int(p) <= 255 for p in match.split("."))
+    if kind == "card":
+        twice = [int(c) for c in digits[::-1]]
+        return 14 <= len(digits) <= 19 and sum(v if k % 2 == 0 else (2 * v - 9 if v > 4 else 2 * v) for k, v in enumerate(twice)) % 10 == 0
+    return kind != "phone" or 10 <= len(digits) <= 15
+
+
+def base_spans(text):
+    found = [(m.start(), k, kind, m.end()) for k, (kind, p) in enumerate(BASE.items()) for m in re.finditer(p, text or "") if valid(kind, m[0])]
+    return ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in sorted(found))
+
+
+def test_base_spans_match_the_plain_patterns(spark, odd, tmp_path):
+    rng = random.Random(4)
+    pieces = ["a@b.cc", "@", ".", "x.y-z", "+1", " ", "-", "(", ")", "4111111111111111", "378282246310005", "10.1.2.3", "256.1.1.1", "00001.2.3.4", "12", "é", "😀", "+4512345678", "GB82WEST12345698765432"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 14))) for _ in range(1500)]
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = pii.op8_pii(spark, str(tmp_path)).select("doc_id", "base_sha256", "n_email", "n_ip", "n_card", "n_phone").collect()
+    want = [(r.doc_id, base_spans(r.text)) for r in docs.collect()]
+    key = lambda i, h: (i is None, i or 0, h)
+    assert sorted(key(r.doc_id, r.base_sha256) for r in got) == sorted(key(i, hashlib.sha256(s.encode()).hexdigest()) for i, s in want)
+    assert sum(r.n_email for r in got) == sum(s.count("email:") for _, s in want)
+
+
+def test_long_runs_do_not_overflow(spark):
+    texts = ["a." * 30_000 + "@" + "b." * 30_000 + "c", "1 " * 60_000, "+1" + "-" * 50_000, "1." * 50_000]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    assert [len(r[0]) for r in df.select(pii.personal_spans(df.text)).collect()] == [1, 0, 0, len(re.findall(BASE["ip"], texts[3]))]
+
+
+def test_checksums_and_context(spark):
+    texts = ["IBAN GB82 WEST 1234 5698 7654 32 and", "IBAN GB83 WEST 1234 5698 7654 32", "ssn 123-45-6789", "number 123-45-6789", "visa 4111 1111 1111 1111"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [[(s.kind, s.start, s.end, round(s.score, 2)) for s in r[0]] for r in df.select(pii.personal_spans(df.text)).collect()]
+    assert got == [[("iban", 5, 32, 1.0)], [], [("ssn", 4, 15, 0.6)], [], [("card", 5, 24, 1.0)]]
+
+
+def test_redaction(spark):
+    df = spark.createDataFrame([("é a@b.cc, 10.0.0.1.",), (None,), ("clean",)], "text string")
+    assert [r[0] for r in df.select(pii.redact(df.text, pii.personal_spans(df.text))).collect()] == ["é <email>, <ip>.", None, "clean"]
+
+
+def words(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def brute_hits(text, windows):
+    w, hit, items = words(text), set(), set()
+    for window, owners in windows.items():
+        for k in range(len(w) - len(window) + 1):
+            if tuple(w[k : k + len(window)]) == window:
+                hit.update(range(k, k + len(window)))
+                items |= owners
+    return len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("bound", [500_000, 0])
+def test_decontamination_matches_brute_force(spark, odd, tmp_path, monkeypatch, bound):
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", bound)
+    rng = random.Random(8)
+    item = " ".join(rng.choice("abcdefg") for _ in range(25))
+    bench = [(1, "One, two THREE four five six seven eight nine ten."), (2, item), (3, "short item"), (4, None), (5, "..."), (2, item), (6, "the the the the the the the the the the the the"), (7, item)]
+    texts = [item, "x " + item[:30] + " y", "a short item here, short item", "the " * 50, "ONE two three four five six seven eight nine tenx", " ".join(rng.choice("abcdefg") for _ in range(3000)) + " " + item]
+    docs = odd.select("doc_id", "text").union(spark.createDataFrame([(100 + k, t) for k, t in enumerate(texts * 2)], "doc_id long, text string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    windows = {}
+    for i, t in bench:
+        w = words(t)
+        for k in range(max(1, len(w) - 9) if w else 0):
+            windows.setdefault(tuple(w[k : k + 10]), set()).add(str(i))
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    got = sorted(map(key, [(r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontamination.op9_decontamination(spark, str(tmp_path)).collect()]))
+    want = sorted(key((r.doc_id, *(b := brute_hits(r.text, windows)), b[1] > 0)) for r in docs.collect())
+    assert got == want and sum(r[-1] for r in want) >= 8
+
+
+def test_decontamination_of_empty_tables(spark, odd, none):
+    bench = spark.createDataFrame([], "item_id long, text string")
+    assert decontamination.contamination(odd, bench).where("__n_hit > 0").count() == 0
+    assert decontamination.contamination(none, bench.union(spark.createDataFrame([(1, "a b")], bench.schema))).count() == 0
+
+
+def brute_lcs(a, b):
+    best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i in range(len(a)):
+        for j in range(len(b)):
+            best[i + 1][j + 1] = best[i][j] + 1 if a[i] == b[j] else max(best[i][j + 1], best[i + 1][j])
+    return best[-1][-1]
+
+
+@pytest.mark.parametrize("limit", [400_000_000, 6])
+def test_alignment_is_a_longest_common_subsequence(monkeypatch, limit):
+    monkeypatch.setattr(html_text, "HISTORY_BITS", limit)
+    rng = random.Random(limit)
+    for _ in range(300):
+        a, b = ([rng.randint(0, 5) for _ in range(rng.randint(0, 14))] for _ in range(2))
+        got = sorted(html_text.aligned(a, b))
+        rest = iter(b)
+        assert len(got) == brute_lcs(a, b) and all(a[i] in rest for i in got)
+
+
+HEAD = '<html><head><title>t</title><style>p{}</style></head><body><header>Site</header><div id="main-menu">Menu</div>'
+SITE = '<div class="x1">Shared line of the site</div>'
+
+
+def test_differencing_deletes_what_neighbours_share_and_markup_what_it_marks():
+    page = lambda body: f"{HEAD}{SITE}<div>{body}</div><div>Imprint</div><div class='reader-comments'>first!</div></body></html>"
+    rows = [
+        (1, "http://h/a/1", page("<h1>One</h1><p>Alpha <b>bold</b> text<p class=ad>Buy<p>a &amp; b &lt;c&gt;&nbsp;d<br>e")),
+        (2, "http://h/a/2", page("<p>Beta text</p><aside>side</aside><form>f<input></form>")),
+        (3, "http://h/b/1", page("<p>Gamma</p><script>var x='<p>no</p>';</script><!-- c -->")),
+        (4, "http://other/", page("<p>Alone</p>")),
+    ]
+    got = {i: text for i, _, text in html_text.difference(iter(rows))}
+    assert got[1] == "One Alpha bold text a & b <c> d e" and got[2] == "Beta text" and got[3] == "Gamma"
+    assert got[4] == "Shared line of the site Alone Imprint"  # no neighbour on its host
+
+
+def test_article_lines_stay_though_shared_unless_they_are_links():
+    page = lambda x: f"<nav>n</nav><article><h1>{x}</h1><p>Everyone quotes this.</p><p><a href=/s>Share</a></p></article><p>out</p><footer>f</footer>"
+    got = [t for _, _, t in html_text.difference(iter([(1, "http://h/1", page("A")), (2, "http://h/2", page("B"))]))]
+    assert got == ["A Everyone quotes this.", "B Everyone quotes this."]
+
+
+def test_copies_do_not_delete_each_other(spark, none):
+    body = "<div><p>Same page</p><p>twice over</p></div>"
+    rows = [(k, f"http://h/{k}", body) for k in range(4)] + [(9, None, None), (10, "http://h/9", "<p"), (11, "%%%", "<!-- open <p>x"), (12, "http://h/z", "a &am")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: (r.text, r.n_chars) for r in html_text.extract(df).collect()}
+    assert len(got) == len(rows) and got[9] == ("", 0) and got[10] == ("", 0) and got[11] == ("", 0) and got[12] == ("a &am", 5)
+    assert all(got[k][0] == "Same page twice over" for k in range(4))
+    assert html_text.extract(df.where("1=0")).count() == 0
+
+
+def test_pages_query_gives_the_articles(spark):
+    rows = {r.page_id: r for r in html_text.op2_html_text(spark, "/root/testdata/sf0.01").collect()}
+    for page in table(spark, "/root/testdata/sf0.01", "pages").collect():
+        article = re.search(r"<article>(.*?)(?:</article>|\Z)", page.html, re.S)[1]
+        want = " ".join(html_lib.unescape(re.sub("<[^>]*>", " ", article)).split())
+        assert (rows[page.page_id].text, rows[page.page_id].n_chars) == (want, len(want))
+
+
+def test_pipeline_stage_by_stage(spark, tmp_path):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    columns = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+    assert list(stages) == ["quality", "near_dedup", "decontamination", "pii", "packing"]
+
+    def run(name, before):
+        stages[name](spark, before, sf).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    kept = run("quality", docs)
+    assert kept.columns == columns and 0 < kept.count() < docs.count()
+    assert all(len(r.text.split()) >= 50 for r in kept.collect())
+    one = run("near_dedup", kept)
+    from textmill.llm.simhash import near_duplicates
+
+    groups = near_duplicates(kept).groupBy("component_id").count().count()
+    assert one.columns == columns and one.count() == groups == one.select("text").distinct().count()
+    clean = run("decontamination", one)
+    from textmill.llm.decontamination import contamination
+
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
+    assert clean.count() == contamination(one, bench).where("__n_hit = 0").count() < one.count()
+    safe = run("pii", clean)
+    assert safe.columns == columns and safe.count() == clean.count()
+    assert not any(base_spans(r.text) for r in safe.collect())
+    assert safe.where(F.length("text") != F.col("n_chars")).count() == 0
+    packed = run("packing", safe)
+    assert packed.select("doc_id").distinct().count() == safe.count()
+    assert corpus_pipeline.run(spark, sf).count() == packed.count()
+
+
+def test_pipeline_stages_stand_odd_and_empty_tables(spark, odd, none, folder):
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, "two three four five six seven eight nine ten eleven")], "item_id long, text string")
+    sf = folder(labels=labels, benchmark=bench)
+    for docs in (odd, none):
+        for name, stage in corpus_pipeline.STAGES:
+            got = stage(spark, docs, sf)
+            assert name == "packing" or got.columns == docs.columns
+            assert got.count() <= docs.count() * 60
+    left = corpus_pipeline.drop_near_copies(spark, odd, sf)
+    assert left.where("doc_id = 1").count() == 1 and left.where("doc_id = 2").count() == 0
