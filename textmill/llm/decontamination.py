@@ -92,7 +92,8 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     )
     # Per text: the starts to look at, each with the windows that may begin there.
     by_text = stash(proposed.groupBy("doc_key").agg(F.collect_set(F.struct("start", "n", "window")).alias("starts")), "bench-proposed")
-    seen = words.join(by_text, F.col("key") == F.col("doc_key"))
+    # Its size follows the corpus, so it is never broadcast.
+    seen = words.join(by_text.hint("merge"), F.col("key") == F.col("doc_key"))
     exact = F.filter("starts", lambda s: F.xxhash64(F.slice("w", s.start + 1, s.n)) == s.window)
     # Stored before copies are reduced, so that the join's hot keys can be split.
     copies = stash(seen.select("key", exact.alias("hits")).where(F.size("hits") > 0), "bench-hits")
@@ -130,7 +131,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     found = phrase_matches(
         keyed.where("text IS NOT NULL").select(F.col("__key").alias("key"), F.col("text")), benchmark, size
     ).select(F.col("key").alias("__found"), F.col("spans").alias("__spans"), F.col("items").alias("__items"))
-    joined = keyed.join(found, F.col("__key") == F.col("__found"), "left")
+    joined = keyed.join(found.hint("merge"), F.col("__key") == F.col("__found"), "left")
     return joined.select(
         *docs.columns,
         "__n_words",

@@ -187,7 +187,7 @@ def _cutoffs(measured: DataFrame, labels: DataFrame) -> DataFrame:
     good = good_labels(labels)
     holdouts = measured.join(good, measured.doc_id == good.label_id, "left_semi")
     found = stash(calibrate(holdouts.select("stratum", badness(F.col("m")).alias("bad"))), "quality-cutoffs")
-    return found.select(F.col("stratum").alias("cut_stratum"), "cutoff")
+    return found.select(F.col("stratum").alias("__cut_stratum"), F.col("cutoff").alias("__cut_at"))
 
 
 def judge(measured: DataFrame, labels: DataFrame) -> DataFrame:
@@ -195,24 +195,22 @@ def judge(measured: DataFrame, labels: DataFrame) -> DataFrame:
 
     ``kept`` is false where a hard limit fails or the stratum's cutoff is exceeded.
     """
-    joined = measured.join(_cutoffs(measured, labels), F.col("stratum") == F.col("cut_stratum"), "left")
+    joined = measured.join(_cutoffs(measured, labels), F.col("stratum") == F.col("__cut_stratum"), "left")
     failed = base_failed(F.col("m"))
-    rejected = F.coalesce(badness(F.col("m")) > F.col("cutoff"), F.lit(False))
-    return joined.withColumn("base_failed", failed).withColumn("kept", ~failed & ~rejected).drop("cut_stratum", "cutoff")
+    rejected = F.coalesce(badness(F.col("m")) > F.col("__cut_at"), F.lit(False))
+    return joined.withColumn("base_failed", failed).withColumn("kept", ~failed & ~rejected).drop("__cut_stratum", "__cut_at")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang and any others) that pass, columns unchanged."""
-    measured = docs.select(F.col("doc_id").cast("long").alias("doc_id"), stratum_of(F.col("lang")).alias("stratum"), F.col("text"))
-    good = good_labels(labels)
-    holdouts = measured.join(good, measured.doc_id == good.label_id, "left_semi").select("doc_id", "stratum", measures(F.col("text")).alias("m"))
-    cutoffs = stash(calibrate(holdouts.select("stratum", badness(F.col("m")).alias("bad"))), "quality-cutoffs").select(
-        F.col("stratum").alias("__stratum"), F.col("cutoff").alias("__cutoff")
-    )
-    joined = docs.withColumn("__m", measures(F.col("text"))).join(cutoffs, stratum_of(F.col("lang")) == F.col("__stratum"), "left")
+    # Stored once with the counts: the labels meet the counts alone, and no filter that is
+    # pushed below the projection counts a text again.
+    counted = stash(docs.withColumn("__m", measures(F.col("text"))), "quality-counted")
+    measured = counted.select(F.col("doc_id").cast("long").alias("doc_id"), stratum_of(F.col("lang")).alias("stratum"), F.col("__m").alias("m"))
+    joined = counted.join(_cutoffs(measured, labels), stratum_of(F.col("lang")) == F.col("__cut_stratum"), "left")
     m = F.col("__m")
-    passes = ~base_failed(m) & F.coalesce(badness(m) <= F.col("__cutoff"), F.lit(True))
-    return joined.where(passes).select(*docs.columns)
+    passes = ~base_failed(m) & F.coalesce(badness(m) <= F.col("__cut_at"), F.lit(True))
+    return joined.where(passes).select(*[counted[c] for c in docs.columns])
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
