@@ -35,7 +35,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     # The least (null last, doc_id, row) of each group is a partial aggregate: no group is gathered.
     first = placed.groupBy("__group").agg(F.min(F.struct(F.col("__doc_id").isNull(), "__doc_id", "__doc_row")).alias("__first"))
     kept = stash(first.select(F.col("__first.__doc_row").alias("__keep")), "dedup-kept")
-    return numbered.join(kept, numbered["__row"] == kept["__keep"], "left_semi").select(*docs.columns)
+    # What stays grows with the corpus: the join is dealt by row, never broadcast.
+    return numbered.join(kept.hint("merge"), numbered["__row"] == kept["__keep"], "left_semi").select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
