@@ -53,7 +53,7 @@ def first_word(text: Column, word: str) -> Column:
 
 
 def end_phrase(text: Column, phrase: str) -> Column:
-    return F.rtrim(text).endswith(phrase)
+    return F.regexp_replace(text, r"\s+$", "").endswith(phrase)
 
 
 def last_word(text: Column, word: str) -> Column:

@@ -20,14 +20,14 @@ def restrained_format(text: Column) -> Column:
 
 def dedupe_caseless(values: Column) -> Column:
     """Values in order, the first of those that differ in case only."""
-    keys = F.transform(values, F.lower)
+    keys = F.transform(values, lambda v: F.lower(v))
     marked = F.zip_with(values, F.transform(keys, lambda k, i: F.array_position(keys, k) == i + 1), lambda v, first: F.struct(v.alias("v"), first.alias("first")))
     return F.transform(F.filter(marked, lambda x: x.first), lambda x: x.v)
 
 
 def salient_terms(text: Column, most: int = 16) -> Column:
     """Amounts, capitalised names, hyphenated terms, then long words; distinct but for case."""
-    pick = lambda t, p: F.transform(F.regexp_extract_all(t, F.lit(p), F.lit(0)), F.trim)
+    pick = lambda t, p: F.transform(F.regexp_extract_all(t, F.lit(p), F.lit(0)), lambda x: F.trim(x))
     long = F.filter(pick(F.lower(text), rf"[{LETTERS}]{{5,}}"), lambda w: ~w.isin(*SALIENT_STOPS))
     found = F.concat(
         pick(text, r"[$€£]?\d[\d.,]*(?:\s*(?:%|kr\.?|dollars?|minutes?|minutter|days?|dage))?"),

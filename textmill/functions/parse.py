@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 
 def strip_fence(text: Column) -> Column:
@@ -14,7 +15,7 @@ def strip_fence(text: Column) -> Column:
     return F.when(t.rlike(r"(?s)^```[A-Za-z0-9_-]*\s*\n.*```$"), F.trim(inner)).otherwise(t)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def json_object(texts: pd.Series) -> pd.Series:
     """The first balanced {...} of each text that is valid JSON, or null.
 
@@ -61,19 +62,19 @@ def cited_statements(text: Column) -> Column:
 def skeleton_steps(text: Column) -> Column:
     """array of struct(role, act, delta) of lines ``STEP n: role | act | delta``."""
     lines = F.regexp_extract_all(text, F.lit(r"(?im)^\s*STEP\s+\d+\s*:\s*(.+)$"), F.lit(1))
-    parts = F.transform(lines, lambda x: F.transform(F.split(x, r"\|"), F.trim))
+    parts = F.transform(lines, lambda x: F.transform(F.split(x, r"\|"), lambda x: F.trim(x)))
     return F.transform(F.filter(parts, lambda p: F.size(p) == 3), lambda p: F.struct(F.lower(p[0]).alias("role"), p[1].alias("act"), p[2].alias("delta")))
 
 
 def query_plan(text: Column) -> Column:
     """Steps of a plan written with arrows, semicolons or on lines."""
-    return F.filter(F.transform(F.split(text, r"\s*(?:->|=>|→|>|;|\n)\s*"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, r"\s*(?:->|=>|→|>|;|\n)\s*"), lambda x: F.trim(x)), lambda s: s != "")
 
 
 def reasoning_failure(reasoning: Column, prompt: Column) -> Column:
     """Why a reasoning trace is not enough, or null: missing, too few steps, or a copy of the prompt."""
-    steps = F.filter(F.transform(F.split(reasoning, "\n"), F.trim), lambda x: x != "")
-    asked = F.transform(F.split(prompt, "\n"), F.trim)
+    steps = F.filter(F.transform(F.split(reasoning, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    asked = F.transform(F.split(prompt, "\n"), lambda x: F.trim(x))
     copied = F.size(F.filter(steps, lambda s: F.array_contains(asked, s)))
     n = F.size(steps)
     return (

@@ -113,6 +113,6 @@ def rigidity(text: Column, kind: Column) -> Column:
 def keywords(text: Column, most: int = 12) -> Column:
     """The first distinct content words in text order."""
     stops = F.array(*[F.lit(w) for w in [*KEYWORD_STOPS, *NUMBERS]])
-    found = F.transform(prompt_words(text), fold)
+    found = F.transform(prompt_words(text), lambda w: fold(w))
     kept = F.filter(F.array_distinct(found), lambda t: (F.length(t) > 2) & ~F.array_contains(stops, t))
     return F.slice(kept, 1, most)

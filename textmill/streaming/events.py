@@ -22,8 +22,9 @@ def read_parquet_stream(spark: SparkSession, folder: str, schema) -> DataFrame:
 
 def windowed_counts(events: DataFrame, key: str, width: str = "10 minutes", late: str = "30 minutes", ts: str = "ts") -> DataFrame:
     """(start, key, n, total) of tumbling windows; events later than the watermark are left out when streaming."""
-    grouped = events.withWatermark(ts, late).groupBy(F.window(ts, width), key)
-    return grouped.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.col("window.start").alias("start"), key, "n", "total")
+    # A watermark needs an instant; the window's start goes back to the wall clock it came from.
+    grouped = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late).groupBy(F.window(ts, width), key)
+    return grouped.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")).select(F.col("window.start").cast("timestamp_ntz").alias("start"), key, "n", "total")
 
 
 def append(rows: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
