@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 #: Function words by language; other languages have none.
 STOPWORDS = {
-    "en": "the and for with that this from have has was were are his her its not but they she you which who their been also into than then when where while will would can could about after before between during over under more most other some such only".split(),
-    "da": "og der det den til som med for ikke var han hun har sig men ved fra eller hvor også efter blev blive over under mellem denne dette".split(),
+    "en": "and the for with from that this was are".split(),
+    "da": "og det den der som med for til fra var".split(),
 }
 BLANKS = " \t\r\x0b\x0c"
 

@@ -194,28 +194,30 @@ def numbrix_solutions(rows: int, cols: int, given: dict[int, tuple[int, int]], l
     return found
 
 
-def hitori_solutions(grid: list[list[int]], limit: int = 2) -> int:
-    """Shadings without repeats in lines, without touching shades, with one white region."""
+def hitori_solutions(grid: list[list[int]], limit: int = 2, seen: list | None = None) -> int:
+    """Shadings without repeats in lines, without touching shades, with one white region; ``seen`` gets them."""
     rows, cols, found = len(grid), len(grid[0]), 0
     shade = [[False] * cols for _ in range(rows)]
 
     def connected() -> bool:
-        white = [(r, c) for r in range(rows) for c in range(cols) if not shade[r][c]]
-        seen, todo = {white[0]}, [white[0]]
+        white = {(r, c) for r in range(rows) for c in range(cols) if not shade[r][c]}
+        todo = [white.pop()] if white else []
         while todo:
             r, c = todo.pop()
-            for new in ((r - 1, c), (r + 1, c), (r, c - 1), (r, c + 1)):
-                if new not in seen and 0 <= new[0] < rows and 0 <= new[1] < cols and not shade[new[0]][new[1]]:
-                    seen.add(new)
-                    todo.append(new)
-        return len(seen) == len(white)
+            near = white & {(r - 1, c), (r + 1, c), (r, c - 1), (r, c + 1)}
+            white -= near
+            todo += near
+        return not white
 
     def search(at: int) -> None:
         nonlocal found
         if found >= limit:
             return
         if at == rows * cols:
-            found += connected()
+            if connected():
+                found += 1
+                if seen is not None:
+                    seen.append([list(row) for row in shade])
             return
         r, c = divmod(at, cols)
         if not any(grid[r][k] == grid[r][c] and not shade[r][k] for k in range(c)) and not any(grid[k][c] == grid[r][c] and not shade[k][c] for k in range(r)):
@@ -229,19 +231,19 @@ def hitori_solutions(grid: list[list[int]], limit: int = 2) -> int:
     return found
 
 
-def light_solutions(board: list[str], limit: int = 2) -> int:
-    """Lamp placements on '.', walls '#' or digits: all lit, no lamp sees another, digits met."""
+def light_solutions(board: list[str], limit: int = 2, seen: list | None = None) -> int:
+    """Lamp placements on '.', walls '#' or digits: all lit, no lamp sees another, digits met; ``seen`` gets them."""
     rows, cols = len(board), len(board[0])
     open_cells = [(r, c) for r in range(rows) for c in range(cols) if board[r][c] == "."]
     beams: dict[tuple[int, int], set[tuple[int, int]]] = {}
     for r, c in open_cells:
-        seen = {(r, c)}
+        beam = {(r, c)}
         for dr, dc in ((0, 1), (1, 0), (0, -1), (-1, 0)):
             y, x = r + dr, c + dc
             while 0 <= y < rows and 0 <= x < cols and board[y][x] == ".":
-                seen.add((y, x))
+                beam.add((y, x))
                 y, x = y + dr, x + dc
-        beams[r, c] = seen
+        beams[r, c] = beam
     digits = {(r, c): int(board[r][c]) for r in range(rows) for c in range(cols) if board[r][c].isdigit()}
     found = 0
 
@@ -252,7 +254,10 @@ def light_solutions(board: list[str], limit: int = 2) -> int:
         if at == len(open_cells):
             lit = set().union(*(beams[x] for x in lamps)) if lamps else set()
             near = lambda r, c: sum((y, x) in lamps for y, x in ((r - 1, c), (r + 1, c), (r, c - 1), (r, c + 1)))
-            found += len(lit) == len(open_cells) and all(near(*cell) == n for cell, n in digits.items())
+            if len(lit) == len(open_cells) and all(near(*cell) == n for cell, n in digits.items()):
+                found += 1
+                if seen is not None:
+                    seen.append(lamps)
             return
         if not beams[open_cells[at]] & lamps:
             search(at + 1, lamps | {open_cells[at]})
