@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import bucket_count, gapless_rank, stash, table
 
-GROUPS_PER_BUCKET, MOST_BUCKETS = 10_000, 4096
+GROUPS_PER_BUCKET, MOST_BUCKETS = 2_000, 4096
 
 
 def differencing(vectors: Sequence[Sequence[int]], shards: int) -> tuple[list[list[int]], list[int]]:
