@@ -81,6 +81,7 @@ def brute_hits(text, windows):
 @pytest.mark.parametrize("bound", [500_000, 0])
 def test_decontamination_matches_brute_force(spark, odd, tmp_path, monkeypatch, bound):
     monkeypatch.setattr(decontamination, "BROADCAST_ROWS", bound)
+    monkeypatch.setattr(decontamination, "BROADCAST_HITS", bound)
     rng = random.Random(8)
     item = " ".join(rng.choice("abcdefg") for _ in range(25))
     bench = [(1, "One, two THREE four five six seven eight nine ten."), (2, item), (3, "short item"), (4, None), (5, "..."), (2, item), (6, "the the the the the the the the the the the the"), (7, item)]

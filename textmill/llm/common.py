@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -52,14 +52,32 @@ def discard(df: DataFrame) -> None:
             path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it in ``use``, also inside other lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def split_words(text: Column, between: str) -> Column:
+    """Parts of a text between the matches of ``between``, without the empty ends."""
+
+    def inner(parts: Column) -> Column:
+        head = (F.get(parts, F.lit(0)) == "").cast("int")
+        tail = (F.get(parts, F.size(parts) - 1) == "").cast("int")
+        return F.slice(parts, 1 + head, F.greatest(F.size(parts) - head - tail, F.lit(0)))
+
+    return let(F.split(text, between), inner)
+
+
 def words_of(text: Column) -> Column:
-    """Words of a text, null as none; the filter drops the empty ends of the split."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda w: w != "")
+    """White-space separated words of a text; null has none."""
+    return split_words(F.coalesce(text, F.lit("")), SPACE)
 
 
 def lower_ascii(text: Column) -> Column:
-    """Lower-case A to Z and nothing else."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """Lower-case A to Z and nothing else. A text of ASCII alone takes the faster way."""
+    ascii_only = F.octet_length(text) == F.length(text)
+    slow = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.when(ascii_only, F.lower(text)).otherwise(slow)
 
 
 def bucket_count(rows: int, per_bucket: int, most: int = 4096) -> int:

@@ -12,23 +12,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, stash, table
+from .common import lower_ascii, split_words, stash, table
 
 WINDOW = 10
 #: A table of benchmark terms or windows is broadcast only up to this many rows.
 BROADCAST_ROWS = 500_000
+#: The texts with hits are broadcast only up to this many rows; beyond, the join is dealt out.
+BROADCAST_HITS = 100_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def match_words(text: Column) -> Column:
     """Words of a text in lower case: runs of ASCII letters, digits and anything beyond ASCII."""
-    parts = F.split(lower_ascii(F.coalesce(text, F.lit(""))), NOT_WORD)
-    return F.filter(parts, lambda w: w != "")
+    return split_words(lower_ascii(F.coalesce(text, F.lit(""))), NOT_WORD)
 
 
-def small(df: DataFrame, rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast if its counted rows are within the bound."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def small(df: DataFrame, rows: int, most: int | None = None) -> DataFrame:
+    """Mark ``df`` for broadcast if its counted rows are within the bound, else for a merge join."""
+    return F.broadcast(df) if rows <= (BROADCAST_ROWS if most is None else most) else df.hint("merge")
 
 
 def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -42,10 +43,9 @@ def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     return spans.distinct()
 
 
-def term_postings(docs: DataFrame) -> DataFrame:
-    """(key, pos, term, before, after): every position of every document, with the terms beside it."""
-    placed = F.transform("w", lambda t, i: F.struct(i.alias("pos"), t.alias("term"), F.get("w", i - 1).alias("before"), F.get("w", i + 1).alias("after")))
-    return docs.select("key", F.explode(placed).alias("p")).select("key", "p.*")
+def term_postings(words: DataFrame) -> DataFrame:
+    """(key, pos, term): every position of every text (key, w)."""
+    return words.select("key", F.posexplode("w").alias("pos", "term"))
 
 
 def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -75,31 +75,37 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("at"), F.col("term"))).alias("a")
     )
     anchored = rare.where("a.n > 0").select("window", F.col("a.at").alias("at"), F.col("a.term").alias("anchor"))
+    beside_it = [F.get("words", F.col("at") + k) for k in (-1, 1)]
     seeds = stash(
         distinct.join(anchored, "window").select(
-            "anchor", "at", "words", "items", F.get("words", F.col("at") - 1).alias("before_w"), F.get("words", F.col("at") + 1).alias("after_w")
+            "window", "anchor", "at", F.size("words").alias("n"), beside_it[0].alias("before_w"), beside_it[1].alias("after_w")
         ),
         "bench-seeds",
     )
     anchors = seeds.select(F.col("anchor").alias("term")).distinct()
-    # Each anchor once in a broadcast, its windows side by side: a posting meets it once.
-    index = stash(
-        term_postings(words).join(small(anchors, n_terms), "term", "left_semi"), "postings"
-    )
+    index = stash(term_postings(words).join(small(anchors, n_terms), "term", "left_semi"), "postings")
+    # Postings of one text side by side; copies of a text are one. Its size follows the
+    # corpus, so it is never broadcast.
+    by_text = stash(index.groupBy(F.col("key").alias("doc_key")).agg(F.collect_set(F.struct("pos", "term")).alias("postings")), "postings-by-text")
+    joined = docs.join(by_text.hint("merge"), F.col("key") == F.col("doc_key"))
+    seen = joined.select("key", "postings", match_words(F.col("text")).alias("w"))  # the text is shuffled, not its words
+    reach = 2 * size - 1
+
+    def around(p: Column) -> Column:
+        base = F.greatest(p.pos - (size - 1), F.lit(0))
+        lists = [F.get("w", p.pos + k) for k in (-1, 1)]
+        return F.struct(p.pos.alias("pos"), p.term.alias("term"), base.alias("base"), lists[0].alias("before"), lists[1].alias("after"), F.slice("w", base + 1, F.lit(reach)).alias("near"))
+
+    placed = seen.select("key", F.explode(F.transform("postings", around)).alias("p")).select("key", "p.*")
     beside = (F.col("before_w").isNull() | (F.col("before_w") == F.col("before"))) & (F.col("after_w").isNull() | (F.col("after_w") == F.col("after")))
-    proposed = index.join(small(seeds, n_windows), (F.col("term") == F.col("anchor")) & beside & (F.col("pos") >= F.col("at"))).select(
-        F.col("key").alias("doc_key"), (F.col("pos") - F.col("at")).alias("start"), F.xxhash64("words").alias("window"), F.size("words").alias("n")
-    )
-    # Per text: the starts to look at, each with the windows that may begin there.
-    by_text = stash(proposed.groupBy("doc_key").agg(F.collect_set(F.struct("start", "n", "window")).alias("starts")), "bench-proposed")
-    # Its size follows the corpus, so it is never broadcast.
-    seen = words.join(by_text.hint("merge"), F.col("key") == F.col("doc_key"))
-    exact = F.filter("starts", lambda s: F.xxhash64(F.slice("w", s.start + 1, s.n)) == s.window)
+    proposed = placed.join(small(seeds, n_windows), (F.col("term") == F.col("anchor")) & (F.col("pos") >= F.col("at")) & beside)
+    start = F.col("pos") - F.col("at")
+    exact = F.xxhash64(F.array_join(F.slice("near", F.greatest(start - F.col("base") + 1, F.lit(1)), F.col("n")), " ")) == F.col("window")
     # Stored before copies are reduced, so that the join's hot keys can be split.
-    copies = stash(seen.select("key", exact.alias("hits")).where(F.size("hits") > 0), "bench-hits")
-    checked = stash(copies.groupBy("key").agg(F.first("hits").alias("hits")), "bench-hits-once")
+    copies = stash(proposed.where(exact).select("key", F.struct(start.alias("start"), F.col("n"), F.col("window")).alias("hit")), "bench-hits")
+    checked = stash(copies.groupBy("key").agg(F.collect_set("hit").alias("hits")), "bench-hits-once")
     spans = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.struct(h.start.alias("start"), (h.start + h.n).alias("end")))))
-    owners = distinct.select(F.xxhash64("words").alias("window"), "items")
+    owners = distinct.select("window", "items")
     per_item = (
         checked.select("key", F.explode(F.array_distinct(F.transform("hits", lambda h: h.window))).alias("window"))
         .join(small(owners, n_windows), "window")
@@ -131,7 +137,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     found = phrase_matches(
         keyed.where("text IS NOT NULL").select(F.col("__key").alias("key"), F.col("text")), benchmark, size
     ).select(F.col("key").alias("__found"), F.col("spans").alias("__spans"), F.col("items").alias("__items"))
-    joined = keyed.join(found.hint("merge"), F.col("__key") == F.col("__found"), "left")
+    joined = keyed.join(small(found, found.count(), BROADCAST_HITS), F.col("__key") == F.col("__found"), "left")
     return joined.select(
         *docs.columns,
         "__n_words",

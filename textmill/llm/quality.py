@@ -14,13 +14,12 @@ All of it is column expressions.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from math import log, pi
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import stash, table, words_of
+from .common import let, stash, table, words_of
 
 RISK, ERROR = 0.02, 0.05
 #: Units of the rules, in the order of the shares that badness() divides by them.
@@ -31,11 +30,6 @@ CUTOFFS = (4.0, 3.0, 2.5, 2.0, 1.6, 1.3, 1.1, 1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4)
 LEAST_WORDS, MOST_REPEATED = 50, 50
 
 
-def let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it in ``use``, also inside other lambdas."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _without(text: Column, chars: str) -> Column:
     return F.length(F.translate(text, chars, ""))
 
