@@ -135,3 +135,36 @@ def test_wording_languages_and_titles(spark):
     assert one(spark, "The moon is a satellite.", V.default_target(F.lit("definition"), F.lit("The moon"), t, none)) == "a satellite"
     assert one(spark, "s", V.default_target(F.lit("source_clue"), F.lit("Moon"), t, none)) == "Moon"
     assert one(spark, "s", V.default_target(F.lit("x"), F.lit("Moon"), t, F.array(F.lit("p"), F.lit("q"), F.lit("r")))) == "p q"
+
+
+def test_envelopes_round_trip(spark):
+    from textmill.functions import envelopes as EV
+
+    answers = ["1 2\n3 4", 'say "x" \\ y', "a=1 b=2", "- é"]
+    rows = [(k, a) for k in EV.KINDS for a in answers]
+    df = spark.createDataFrame(rows, "kind string, answer string")
+    kind, label = F.col("kind"), F.lit("ANSWER")
+    wrapped = F.concat(F.lit("Step one.\nStep two.\n\n"), EV.wrap(kind, F.col("answer"), label))
+    for r in df.select("kind", "answer", EV.unwrap(kind, wrapped, label).alias("back")).collect():
+        assert r.back == r.answer, r
+    for k in EV.KINDS:
+        assert one(spark, "no envelope", EV.unwrap(F.lit(k), F.col("t"), label)) in (None, "")
+    assert json.loads(one(spark, 'a\n"b"', EV.wrap(F.lit("json"), F.col("t"), label))) == {"answer_lines": ["a", '"b"']}
+
+
+def test_row_projections(spark):
+    from textmill.functions import rows as RW
+
+    t = F.col("t")
+    assert one(spark, "grounded_qa-000001", RW.row_family(F.lit(" "), t, ["grounded", "grounded_qa"])) == "grounded_qa"
+    assert one(spark, "x-1", RW.row_family(F.lit("demo"), t, ["x"])) == "demo" and one(spark, "y-1", RW.row_family(F.lit(None), t, ["x"])) is None
+    assert one(spark, "en", RW.language_mode(t, F.lit("en"), F.lit(None))) == "same_language" and one(spark, "en", RW.language_mode(t, F.lit("da"))) == "cross_language"
+    have = F.array(F.struct(F.lit("a").alias("kind"), F.lit("1").alias("value")))
+    assert len(one(spark, "", RW.with_source(have, F.lit("a"), F.lit("2")))) == 1 and len(one(spark, "", RW.with_source(have, F.lit("b"), F.lit("2")))) == 2
+    messages = F.array(F.struct(F.lit("user").alias("role"), F.lit("q").alias("content")), F.struct(F.lit("assistant").alias("role"), F.lit("r").alias("content")))
+    assert one(spark, " ", RW.response_text(t, messages)) == "r" and one(spark, "x", RW.response_text(t, messages)) == "x"
+    assert (RW.candidate_count(10, 1.25), RW.candidate_count(10, 0.5), RW.attempts(10), RW.attempts(100)) == (13, 10, 60, 400)
+    assert one(spark, " s ", RW.upgraded_target(t, F.lit("s"), F.lit("better"))) == "better" and one(spark, "own", RW.upgraded_target(t, F.lit("s"), F.lit("b"))) == "own"
+    assert one(spark, '```text\n"hi there"\n```', RW.clean_prompt(t)) == "hi there" and one(spark, '"q"', RW.clean_prompt(t)) == "q"
+    assert [one(spark, x, RW.placeholder(t)) for x in ("", "<answer>", "The Final Answer", "42")] == [True, True, True, False]
+    assert one(spark, "", RW.merge_unique(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b"), F.lit("c")))) == ["a", "b", "c"]

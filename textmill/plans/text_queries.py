@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import envelopes as EV
 from ..functions import evidence as V
 from ..functions import language as L
 from ..functions import payload as Y
 from ..functions import review as W
+from ..functions import rows as RW
 from ..operators import completion as M
 from ..operators import generators as G
 from .registry import query, read
@@ -85,3 +87,20 @@ def puzzle_dataset(spark, sf_dir):
     keys = read(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("puzzle_id"))
     families = spark.createDataFrame([(f,) for f in sorted(G.MAKERS)], "family string")
     return G.check(G.generate(keys.crossJoin(F.broadcast(families)).repartition("puzzle_id", "family"), 3))
+
+
+@query("SELECT item_id, kind, text AS answer FROM benchmark, (VALUES ('block'), ('json'), ('xml'), ('yaml')) k(kind)")
+def answer_envelopes(spark, sf_dir):
+    """Wrapped after a reasoning, and taken out again: what comes back is what went in."""
+    rows = read(spark, sf_dir, "benchmark").select("item_id", "text", F.explode(F.array(*map(F.lit, EV.KINDS))).alias("kind"))
+    kind, label = F.col("kind"), F.lit("ANSWER")
+    said = F.concat(F.lit("Some steps.\n\n"), EV.wrap(kind, F.col("text"), label))
+    return rows.select("item_id", "kind", EV.unwrap(kind, said, label).alias("answer"))
+
+
+@query("SELECT doc_id, CASE WHEN lang = 'en' THEN 'same_language' ELSE 'cross_language' END AS mode, CASE WHEN len(text) > 400 THEN 2 ELSE 1 END AS citations, trim(text) = '' OR (contains(text, '<') AND contains(text, '>')) OR contains(lower(text), 'det endelige svar') OR contains(lower(text), 'final answer') AS placeholder FROM documents")
+def row_projections(spark, sf_dir):
+    """Language mode, required citations and placeholder answers of the documents."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    n = F.when(F.length("text") > 400, 3).otherwise(1)
+    return docs.select("doc_id", RW.language_mode(F.lit("en"), F.col("lang")).alias("mode"), RW.required_citations(n).alias("citations"), RW.placeholder(F.col("text")).alias("placeholder"))
