@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, split_words, stash, table
+from .common import discard, lower_ascii, split_words, stash, table
 
 WINDOW = 10
 #: A table of benchmark terms or windows is broadcast only up to this many rows.
@@ -88,6 +88,7 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     # corpus, so it is never broadcast.
     by_text = stash(index.groupBy(F.col("key").alias("doc_key")).agg(F.collect_set(F.struct("pos", "term")).alias("postings")), "postings-by-text")
     joined = docs.join(by_text.hint("merge"), F.col("key") == F.col("doc_key"))
+    discard(index)
     seen = joined.select("key", "postings", match_words(F.col("text")).alias("w"))  # the text is shuffled, not its words
     reach = 2 * size - 1
 
