@@ -168,3 +168,33 @@ def test_row_projections(spark):
     assert one(spark, '```text\n"hi there"\n```', RW.clean_prompt(t)) == "hi there" and one(spark, '"q"', RW.clean_prompt(t)) == "q"
     assert [one(spark, x, RW.placeholder(t)) for x in ("", "<answer>", "The Final Answer", "42")] == [True, True, True, False]
     assert one(spark, "", RW.merge_unique(F.array(F.lit("a"), F.lit("b")), F.array(F.lit("b"), F.lit("c")))) == ["a", "b", "c"]
+
+
+def test_artifacts(spark):
+    from textmill.functions import artifacts as AR
+
+    t = F.col("t")
+    for text, claims, payload in [
+        ("Here is the draft.", True, False),
+        ("Her er kontrakten", True, False),
+        ("tekst: " + "x" * 25, True, True),
+        ("kode:\nkilde:", True, True),
+        ("kode: kort", True, False),
+        ("nothing to see", False, False),
+        ("I pasted it, codes elsewhere", False, False),
+        ('he said "a very long quotation stands here"', False, True),
+        ("a\nb\n" + "c" * 180, False, True),
+        ("> quoted", False, True),
+        ("", False, False),
+    ]:
+        assert (one(spark, text, AR.claims_artifact(t)), one(spark, text, AR.has_payload(t))) == (claims, payload), text
+    text = "Uddrag 1:\n```text\nfirst\n```\nIndsat tekst 2 begynder:\nsecond\nIndsat tekst 2 slutter.\nUddrag 3: ---\nthird\n---\nUddrag 4:\n> four\n> five"
+    assert one(spark, text, AR.inserted_blocks(t)) == ["first", "second", "third", "four\nfive"]
+    parse = AR.numbered_blocks("USER")
+    assert one(spark, "USER 1: hi\nthere\n\n\nmore\n2. USER turn - bye", parse(t)) == ["hi\nthere\n\nmore", "bye"]
+    assert one(spark, "1) a\n2) b", parse(t)) == ["a", "b"] and one(spark, None, parse(t)) == []
+    roles = F.array(*map(F.lit, ["user", "assistant", "user"]))
+    got = one(spark, "", AR.weave(roles, F.array(F.lit("u1"), F.lit("u2")), F.array(F.lit("a1"))))
+    assert [(m.role, m.content) for m in got] == [("user", "u1"), ("assistant", "a1"), ("user", "u2")]
+    got = one(spark, "", AR.fallback_skeleton(F.array(F.lit("ask"), F.lit("fix"))))
+    assert [(s.role, s.act) for s in got] == [("user", "ask"), ("assistant", "respond_to_ask"), ("user", "fix"), ("assistant", "respond_to_fix")]
