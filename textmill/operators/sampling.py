@@ -20,7 +20,9 @@ def numbered(rows: DataFrame, order: list[Column | str], out: str = "ord") -> Da
     Rows are sorted into ranges; a row's number is the count of the earlier ranges plus its
     place in its own.
     """
-    sorted_rows = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__mid", F.monotonically_increasing_id())
+    # A stated number of ranges: both reads below see the same ones, whatever is re-planned at run time.
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sorted_rows = rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("__mid", F.monotonically_increasing_id())
     # The id holds the range in its upper 31 bits and the place in the lower 33.
     placed = sorted_rows.withColumn("__part", F.shiftright("__mid", 33)).withColumn("__at", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1)))
     counts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
