@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontamination, html_text, language_id, language_model, packing, pii, quality, sharding, simhash, toxicity
+from . import decontamination, html_text, language_id, language_model, oracles, packing, pii, quality, sharding, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,4 +27,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_quality": oracles.QUALITY, "op9_decontamination": oracles.DECONTAMINATION}
