@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Words of the contracts: maximal runs of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +36,19 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, its session's Arrow batches held to BATCH_BYTES.
+
+    A task that hands texts to Python holds a batch on both sides at once; a batch of
+    thousands of very long texts would not fit beside a full heap.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = re.fullmatch(r"(\d+)b?", conf.get(key))
+    if now is None or not 0 < int(now[1]) <= BATCH_BYTES:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def stash(df: DataFrame, label: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import bounded, table
 
 ORDER = 3
 #: Bytes of statistics that one training task holds before it passes counts on.
@@ -64,7 +64,7 @@ def gram_counts(train: DataFrame, order: int = ORDER) -> DataFrame:
         for lang in list(held):
             yield flush(lang)
 
-    counts = train.select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
+    counts = bounded(train.select("lang", "text")).mapInArrow(run, "lang string, gram long, n long")
     return counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -170,7 +170,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     text = F.col("text").cast("string")
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letter"))
-    return chosen.mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return bounded(chosen).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def learn(train: DataFrame, order: int = ORDER) -> Model:

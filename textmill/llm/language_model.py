@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import bounded, stash, table
 
 STATES = 16
 #: Most words with a symbol of their own, and most words whose counts the tasks hold.
@@ -35,6 +35,8 @@ PASSES, WARM_PASSES, WARM_TEXTS, WARM_TOKENS = 3, 25, 1_500, 1_000
 SEGMENT = 512
 #: Tokens that a task works on at a time, and words that it counts before it passes them on.
 BATCH_TOKENS, BATCH_WORDS = 500_000, 400_000
+#: Tokens that scoring gathers before it sorts texts by length.
+SCORE_TOKENS = 4_000_000
 #: Pseudo-counts of the corpus-wide symbol shares in every state, and of every transition.
 PRIOR, TRANSITION_PRIOR = 50.0, 0.5
 
@@ -64,7 +66,7 @@ def word_counts(train: DataFrame) -> DataFrame:
                     yield flush()
         yield flush()
 
-    return train.select("text").mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return bounded(train.select("text")).mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _class_of(word: bytes) -> int:
@@ -178,7 +180,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             )
 
     schema = "row long, doc_id long, held_out boolean, ids array<int>, base double, share double, n_known long, n_tokens long, rare array<string>"
-    return docs.select("row", "doc_id", "held_out", "text").mapInArrow(run, schema)
+    return bounded(docs.select("row", "doc_id", "held_out", "text")).mapInArrow(run, schema)
 
 
 def segments(flat: np.ndarray, offsets: np.ndarray, longest: int | None) -> tuple[np.ndarray, np.ndarray]:
@@ -340,7 +342,7 @@ def baum_welch(train: DataFrame, start: np.ndarray, move: np.ndarray, emit: np.n
             [pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["block", "sums"]
         )
 
-    parts = train.select("ids").mapInArrow(run, "block int, sums binary")
+    parts = bounded(train.select("ids")).mapInArrow(run, "block int, sums binary")
     blocks = -(-len(emit) // block) + 1
     added = parts.repartition(blocks, "block").mapInArrow(add, "block int, sums binary").collect()
     sums = {r.block: np.frombuffer(bytes(r.sums), dtype=np.float64) for r in added}
@@ -383,12 +385,24 @@ def score_documents(docs: DataFrame, held: Column) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast((start, move, emit))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # Sequences of several batches go through together: a batch takes as many steps as its longest one.
+        held: list[pa.RecordBatch] = []
+
+        def settle() -> pa.RecordBatch:
+            batch = pa.concat_batches(held)
             got = log_likelihood(*_flat(batch.column(1)), *shared.value)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got), *batch.columns[2:]], names=["row", "hmm", *batch.schema.names[2:]])
+            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(got), *batch.columns[2:]], names=["row", "hmm", *batch.schema.names[2:]])
+
+        for batch in batches:
+            held.append(batch)
+            if sum(len(b.column(1).flatten()) for b in held) > SCORE_TOKENS:
+                yield settle()
+                held.clear()
+        if held:
+            yield settle()
 
     kept = "doc_id long, held_out boolean, base double, share double, n_known long, n_tokens long"
-    scored = encoded.select("row", "ids", "doc_id", "held_out", "base", "share", "n_known", "n_tokens").mapInArrow(run, f"row long, hmm double, {kept}")
+    scored = encoded.select("row", "ids", "doc_id", "held_out", "base", "share", "n_known", "n_tokens").transform(bounded).mapInArrow(run, f"row long, hmm double, {kept}")
     rare = rare_counts(encoded, counts)
     joined = scored.join(rare, scored.row == rare.rare_row, "left")
     extra = F.coalesce("rare_base", F.lit(0.0))

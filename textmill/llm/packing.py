@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket_count, gapless_rank, stash, table
+from .common import bounded, bucket_count, gapless_rank, stash, table
 
 CAPACITY = 4096
 #: Width of a length bin of the pattern fit, in tokens; a bin stands for its upper end.
@@ -146,7 +146,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds)], names=names)
 
     chosen = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return chosen.mapInArrow(run, fields)
+    return bounded(chosen).mapInArrow(run, fields)
 
 
 def few_piece_patterns(bins: int) -> np.ndarray:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import bounded, stash, table
 from .components import components
 
 WIDTH = 64
@@ -70,7 +70,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
             got = [text_fingerprint(x.as_py(), shingle, seed) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.int64())], names=["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
+    return bounded(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))).mapInArrow(
         run, "doc_id long, fp long"
     )
 

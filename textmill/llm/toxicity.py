@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import bounded, stash, table
 
 #: Most labelled documents that the grammar is fitted on, in hash order of doc_id.
 FIT_ROWS = 20_000
@@ -139,7 +139,7 @@ def stem_counts(sample: DataFrame) -> DataFrame:
                 names=["stem", "n_toxic", "n_clean"],
             )
 
-    counts = sample.mapInArrow(run, "stem string, n_toxic long, n_clean long")
+    counts = bounded(sample).mapInArrow(run, "stem string, n_toxic long, n_clean long")
     return counts.groupBy("stem").agg(F.sum("n_toxic").alias("n_toxic"), F.sum("n_clean").alias("n_clean"))
 
 
@@ -195,7 +195,7 @@ def _slot_rows(docs: DataFrame, stems: dict[str, float], keep: str, kind: str) -
             got = [_features(clause_slots(t.as_py() or "", classes, stems, closed)) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.list_(pa.float64()))], names=[keep, "slots"])
 
-    return docs.select(keep, "text").mapInArrow(run, f"{keep} {kind}, slots array<double>")
+    return bounded(docs.select(keep, "text")).mapInArrow(run, f"{keep} {kind}, slots array<double>")
 
 
 def learn(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> tuple[dict[str, float], list[float]]:
