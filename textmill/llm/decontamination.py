@@ -17,8 +17,8 @@ from .common import discard, lower_ascii, split_words, stash, table
 WINDOW = 10
 #: A table of benchmark terms or windows is broadcast only up to this many rows.
 BROADCAST_ROWS = 500_000
-#: The texts with hits are broadcast only up to this many rows; beyond, the join is dealt out.
-BROADCAST_HITS = 100_000
+#: The texts with hits are broadcast only up to this many spans and items; beyond, the join is dealt out.
+BROADCAST_HITS = 200_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -138,7 +138,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     found = phrase_matches(
         keyed.where("text IS NOT NULL").select(F.col("__key").alias("key"), F.col("text")), benchmark, size
     ).select(F.col("key").alias("__found"), F.col("spans").alias("__spans"), F.col("items").alias("__items"))
-    joined = keyed.join(small(found, found.count(), BROADCAST_HITS), F.col("__key") == F.col("__found"), "left")
+    entries = found.agg(F.sum(F.size("__spans") + F.size("__items") + 1)).first()[0] or 0
+    joined = keyed.join(small(found, entries, BROADCAST_HITS), F.col("__key") == F.col("__found"), "left")
     return joined.select(
         *docs.columns,
         "__n_words",
