@@ -12,7 +12,7 @@ from textmill.llm import components, packing, sharding, simhash
 
 
 def brute_fingerprint(text):
-    words = [w.encode().lower() for w in (text or "").encode().split()] if False else (text or "").encode().lower().split()
+    words = (text or "").encode().lower().split()
     if not words:
         return 0
     shingles = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]

@@ -1,4 +1,5 @@
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -76,11 +77,10 @@ def test_language_id_of_an_empty_table(spark, none, folder):
 
 def brute_quality(text):
     text = text or ""
-    words = text.encode().split()
-    words = [w for w in __import__("re").split(r"[\x20\x09-\x0D]+", text) if w]
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
     shingles = Counter(zip(words, words[1:], words[2:]))
     covered = {j for k in range(len(words) - 2) if shingles[tuple(words[k : k + 3])] > 1 for j in (k, k + 1, k + 2)}
-    lines = [x for x in text.split("\n") if __import__("re").search(r"[^\x20\x09-\x0D]", x)]
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered)
 
 

@@ -130,8 +130,7 @@ def stem_counts(sample: DataFrame) -> DataFrame:
                 own = seen[int(toxic > 0)]
                 for stem in {w[:k] for w in words for k in range(STEM_FROM, min(len(w), STEM_TO) + 1)}:
                     own[stem] = own.get(stem, 0) + 1
-        keys = list(seen[1])  # a stem that no toxic text of this task has is settled with the others' counts below
-        keys += [k for k in seen[0] if k not in seen[1]]
+        keys = list(seen[0] | seen[1])
         for at in range(0, len(keys), 100_000):
             part = keys[at : at + 100_000]
             yield pa.RecordBatch.from_arrays(
