@@ -46,6 +46,29 @@ def test_context_tree_costs_match_a_direct_escape_recursion():
             assert abs(got[k] - want) < 1e-3
 
 
+def _model_of(texts):
+    counts = Counter()
+    for lang, t in texts:
+        for g in language_id._grams(np.frombuffer(t.encode(), dtype=np.uint8), 3):
+            counts[lang, int(g)] += 1
+    return language_id.freeze([(lang, g, n) for (lang, g), n in counts.items()])
+
+
+def test_no_context_of_a_rare_language_is_left_out():
+    # A language of many frequent contexts beside one of few rare ones.
+    rare, wide = "1cab2cad", "".join(chr(0x4E00 + k * 7919 % 20_000) for k in range(20_000))
+    model = _model_of([("zh", wide)] * 2 + [("xx", rare)])
+    # Two bytes follow "ca", but only "b" follows "1ca": 1 / (1 + 1).
+    bits = language_id.code_lengths(model, b"1cab") - language_id.code_lengths(model, b"1ca")
+    assert abs(bits[model.langs.index("xx")] - 1.0) < 1e-6
+
+
+def test_texts_scored_together_cost_what_each_costs_alone():
+    model = _model_of([("en", "the then there"), ("fr", "les été")])
+    texts = [b"then", b"\xff", "été et les".encode(), b"the the"]
+    assert np.allclose(language_id.code_lengths_of(model, texts), [language_id.code_lengths(model, t) for t in texts])
+
+
 def test_pieces_of_a_long_text_add_up():
     data = (b"the quick brown fox jumps over " * 20_000)[: (1 << 18) + 5000]
     model = language_id.freeze([("en", int(g), 1) for g in set(language_id._grams(np.frombuffer(data[:400], dtype=np.uint8), 3))])

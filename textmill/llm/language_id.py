@@ -4,12 +4,13 @@ Every language has a context tree of byte contexts up to ``order`` bytes. The co
 a byte is that of its longest known context, with an escape to the next shorter one (method
 C: a context with n bytes seen and d distinct ones escapes with probability d / (n + d)),
 down to the uniform distribution. Statistics are frozen after training, so all costs are
-tabulated once: a text's score is a sum of table look-ups.
+tabulated once, for what was seen only: a text's score is a sum of table look-ups. No
+context that was counted is left out of the tables.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,9 +23,10 @@ from .common import bounded, table
 ORDER = 3
 #: Bytes of statistics that one training task holds before it passes counts on.
 TRAIN_BYTES = 4 << 20
-#: Entries (contexts x symbols x languages) of the cost table, the bound on the model. The
-#: contexts seen most often stay; a text in any other context is scored by a shorter one.
-TABLE_ENTRIES = 4_000_000
+#: Grams of all languages that the model is made of: the most frequent.
+TRAIN_GRAMS = 333_333
+#: Bytes of text scored at once.
+SCORE_BYTES = 1 << 20
 
 
 def _grams(data: np.ndarray, order: int) -> np.ndarray:
@@ -70,76 +72,82 @@ def gram_counts(train: DataFrame, order: int = ORDER) -> DataFrame:
 
 @dataclass
 class Model:
-    """Frozen statistics: symbol of a byte, row of a context, bits of each (row, symbol, language)."""
+    """Frozen statistics: for each language and order the known contexts and grams, sorted, with their bits.
+
+    ``levels[lang][k]`` is (contexts of k bytes, bits of their escapes, grams of k + 1
+    bytes, bits of their last bytes).
+    """
 
     langs: list[str]
-    symbol: np.ndarray
-    row: np.ndarray
-    bits: np.ndarray
+    levels: list[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
     order: int
 
 
+def _level(grams: np.ndarray, n: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The table of one language's contexts of ``k`` bytes."""
+    known, at = np.unique(grams & np.uint32((1 << 8 * (k + 1)) - 1), return_inverse=True)
+    times = np.bincount(at, weights=n, minlength=len(known))
+    contexts, of = np.unique(known >> np.uint32(8), return_inverse=True)
+    total = np.bincount(of, weights=times, minlength=len(contexts))
+    kinds = np.bincount(of, minlength=len(contexts))
+    escapes = -np.log2(kinds / (total + kinds))
+    direct = -np.log2(times / (total + kinds)[of])
+    return contexts, escapes.astype(np.float32), known, direct.astype(np.float32)
+
+
+def tabulate(counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int = ORDER) -> Model:
+    """Model of each language's distinct grams (uint32) and how often each occurs."""
+    langs = sorted(counts)
+    return Model(langs, [[_level(*counts[lang], k) for k in range(order + 1)] for lang in langs], order)
+
+
 def freeze(counts: list[tuple[str, int, int]], order: int = ORDER) -> Model:
-    """Tabulate the code lengths of all (context, byte) from the counts.
+    """Model of (lang, gram, n) rows."""
+    grams: dict[str, list[tuple[int, int]]] = {}
+    for lang, g, n in counts:
+        grams.setdefault(lang, []).append((g, n))
+    return tabulate({lang: (np.array([g for g, _ in x], dtype=np.uint32), np.array([n for _, n in x], dtype=np.float64)) for lang, x in grams.items()}, order)
+
+
+def _find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where sorted ``known`` has each of ``wanted``, and whether it does."""
+    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    return at, known[at] == wanted
+
 
-    Bytes that no language has seen share one symbol: no context knows them, so they cost
-    the same everywhere. A context's row exists if any language knows the context; a
-    language that does not uses its longest known suffix, without an escape.
+def gram_bits(model: Model, lang: int, grams: np.ndarray) -> np.ndarray:
+    """Bits of the last byte of each gram.
+
+    A context that the language does not know passes on to the next shorter one without an
+    escape; a known one that has not seen the byte adds its escape.
     """
-    langs = sorted({x[0] for x in counts})
-    seen = sorted({(g >> 8 * k) & 255 for _, g, _ in counts for k in range(order + 1)})
-    symbol = np.full(256, len(seen), dtype=np.int64)
-    symbol[seen] = np.arange(len(seen))
-    a = len(seen) + 1
-    which = {lang: k for k, lang in enumerate(langs)}
-    lang_of = np.array([which[x[0]] for x in counts], dtype=np.int64)
-    gram_of = np.array([x[1] for x in counts], dtype=np.int64)
-    n_of = np.array([x[2] for x in counts], dtype=np.float64)
-    history = np.stack([symbol[(gram_of >> 8 * (order - k)) & 255] for k in range(order + 1)]) if counts else np.zeros((order + 1, 0), dtype=np.int64)
-
-    bits = np.full((1, a, len(langs)), np.log2(256.0), dtype=np.float32)  # order -1: uniform
-    row = np.zeros(1, dtype=np.int32)  # of each context of k symbols: its longest known suffix
-    for k in range(order + 1):
-        code = np.zeros(len(gram_of), dtype=np.int64)
-        for j in range(order - k, order):
-            code = code * a + history[j]
-        contexts, at = np.unique(code, return_inverse=True)
-        most = max(1, TABLE_ENTRIES // (a * max(1, len(langs))))
-        if len(contexts) > most:
-            weight = np.bincount(at, weights=n_of)
-            contexts = contexts[np.sort(np.argsort(-weight, kind="stable")[:most])]
-        keep = np.isin(code, contexts)
-        at = np.searchsorted(contexts, code[keep])
-        flat = (at * a + history[order][keep]) * len(langs) + lang_of[keep]
-        shape = (len(contexts), a, len(langs))
-        n = np.bincount(flat, weights=n_of[keep], minlength=int(np.prod(shape))).reshape(shape)
-        total, kinds = n.sum(axis=1, keepdims=True), (n > 0).sum(axis=1, keepdims=True)
-        below = bits[row[contexts % a ** max(0, k - 1)]]
-        with np.errstate(divide="ignore", invalid="ignore"):
-            direct = -np.log2(n / (total + kinds))
-            escape = below - np.log2(kinds / (total + kinds))
-        cost = np.where(total == 0, below, np.where(n > 0, direct, escape)).astype(np.float32)
-        row = np.tile(row, a) if k else row.copy()
-        row[contexts] = len(bits) + np.arange(len(contexts), dtype=np.int32)
-        bits = np.concatenate([bits, cost])
-    return Model(langs, symbol.astype(np.uint8) if a <= 256 else symbol, row, bits, order)
+    bits = np.full(len(grams), 8.0)  # order -1: uniform
+    for k, (contexts, escapes, known, direct) in enumerate(model.levels[lang]):
+        gram = grams & np.uint32((1 << 8 * (k + 1)) - 1)
+        at, there = _find(contexts, gram >> np.uint32(8))
+        bits += np.where(there, escapes[at], 0.0)
+        at, there = _find(known, gram)
+        bits = np.where(there, direct[at], bits)
+    return bits
+
+
+def code_lengths_of(model: Model, texts: list[bytes]) -> np.ndarray:
+    """Bits of each text (not empty) under each language, a row for each text.
+
+    Every distinct gram of the texts is looked up once.
+    """
+    grams, at = np.unique(np.concatenate([_grams(np.frombuffer(t, dtype=np.uint8), model.order) for t in texts]), return_inverse=True)
+    starts = np.cumsum([0, *map(len, texts[:-1])])
+    return np.stack([np.add.reduceat(gram_bits(model, lang, grams)[at], starts) for lang in range(len(model.langs))], axis=1)
 
 
 def code_lengths(model: Model, data: bytes) -> np.ndarray:
     """Bits of ``data`` under each language; long texts go through in pieces with their history."""
     total = np.zeros(len(model.langs))
-    a = int(model.bits.shape[1])
-    step = 1 << 18
-    for at in range(0, len(data), step):
+    for at in range(0, len(data), SCORE_BYTES):
         head = max(0, at - model.order)
-        s = model.symbol[np.frombuffer(data[head : at + step], dtype=np.uint8)].astype(np.int64)
-        if at == 0:
-            s = np.concatenate([np.full(model.order, int(model.symbol[0])), s])
-        n = len(s) - model.order
-        context = np.zeros(n, dtype=np.int64)
-        for k in range(model.order):
-            context = context * a + s[k : k + n]
-        total += model.bits[model.row[context], s[model.order :]].sum(axis=0, dtype=np.float64)
+        grams, n = np.unique(_grams(np.frombuffer(data[head : at + SCORE_BYTES], dtype=np.uint8), model.order)[at - head :], return_counts=True)
+        total += [gram_bits(model, lang, grams) @ n for lang in range(len(model.langs))]
     return total
 
 
@@ -149,21 +157,35 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     The score is the predicted language's posterior with equal priors. Text that is null or
     has no letter, and any text when nothing was learned, is ``und`` with score 0.
     """
-    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.symbol, model.row, model.bits, model.order))
+    shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.levels, model.order))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*shared.value)
         for batch in batches:
-            langs, scores = [], []
-            for text, letter in zip(batch.column(1), batch.column(2).to_pylist()):
-                if not letter or not m.langs:
-                    langs.append("und")
-                    scores.append(0.0)
+            langs, scores = ["und"] * batch.num_rows, [0.0] * batch.num_rows
+
+            def settle(rows: list[int], bits: Iterable[np.ndarray]) -> None:
+                for k, x in zip(rows, bits):
+                    best = int(np.argmin(x))
+                    langs[k] = m.langs[best]
+                    scores[k] = float(1 / np.exp2(np.maximum(x[best] - x, -1000.0)).sum())
+
+            rows, texts, size = [], [], 0
+            for k, letter in enumerate(batch.column(2).to_pylist() if m.langs else ()):
+                if not letter:
+                    continue
+                data = batch.column(1)[k].as_py().encode()
+                if len(data) > SCORE_BYTES:
+                    settle([k], [code_lengths(m, data)])
                     continue
-                bits = code_lengths(m, text.as_py().encode())
-                best = int(np.argmin(bits))
-                langs.append(m.langs[best])
-                scores.append(float(1 / np.exp2(np.maximum(bits[best] - bits, -1000.0)).sum()))
+                rows.append(k)
+                texts.append(data)
+                size += len(data)
+                if size > SCORE_BYTES:
+                    settle(rows, code_lengths_of(m, texts))
+                    rows, texts, size = [], [], 0
+            if rows:
+                settle(rows, code_lengths_of(m, texts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"]
             )
@@ -176,13 +198,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def learn(train: DataFrame, order: int = ORDER) -> Model:
     """Model of ``train`` (lang, text); rows with a null in either are left out.
 
-    The counts cover every training row. What comes to the driver is one number for each
-    language and byte sequence of order + 1, a set that the bytes of the languages bound
-    and that TABLE_ENTRIES cuts: the most frequent sequences come first.
+    The counts cover every training row. The TRAIN_GRAMS most frequent come to the driver.
     """
     rows = gram_counts(train.where("lang IS NOT NULL AND text IS NOT NULL"), order)
-    top = rows.orderBy(F.desc("n"), "lang", "gram").limit(TABLE_ENTRIES // 12)
-    return freeze([tuple(r) for r in zip(*(c.to_pylist() for c in top.toArrow().columns))], order)
+    got = rows.orderBy(F.desc("n"), "lang", "gram").limit(TRAIN_GRAMS).toArrow()
+    langs = got.column("lang").combine_chunks().dictionary_encode()
+    if isinstance(langs, pa.ChunkedArray):
+        langs = langs.combine_chunks()
+    code = langs.indices.to_numpy(zero_copy_only=False)
+    grams, n = got.column("gram").to_numpy().astype(np.uint32), got.column("n").to_numpy().astype(np.float64)
+    return tabulate({lang: (grams[code == k], n[code == k]) for k, lang in enumerate(langs.dictionary.to_pylist())}, order)
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
