@@ -69,6 +69,16 @@ def test_texts_scored_together_cost_what_each_costs_alone():
     assert np.allclose(language_id.code_lengths_of(model, texts), [language_id.code_lengths(model, t) for t in texts])
 
 
+def test_language_id_learns_every_language_and_gram(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "TABLE_ENTRIES", 120, raising=False)  # a bound on the model would leave 10 counts
+    rows = [(lang, t) for lang, t in (("en", "the quick brown fox "), ("de", "der schnelle fuchs ")) for _ in range(50)] + [("xx", "zyzzyva qoph")]
+    model = language_id.learn(spark.createDataFrame(rows, "lang string, text string"))
+    assert model.langs == ["de", "en", "xx"]
+    want = _model_of(rows)
+    for text in (b"the fox", b"zyzzyva", b"fuchs qoph"):
+        assert np.allclose(language_id.code_lengths(model, text), language_id.code_lengths(want, text))
+
+
 def test_pieces_of_a_long_text_add_up():
     data = (b"the quick brown fox jumps over " * 20_000)[: (1 << 18) + 5000]
     model = language_id.freeze([("en", int(g), 1) for g in set(language_id._grams(np.frombuffer(data[:400], dtype=np.uint8), 3))])

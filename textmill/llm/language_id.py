@@ -5,7 +5,7 @@ a byte is that of its longest known context, with an escape to the next shorter
 C: a context with n bytes seen and d distinct ones escapes with probability d / (n + d)),
 down to the uniform distribution. Statistics are frozen after training, so all costs are
 tabulated once, for what was seen only: a text's score is a sum of table look-ups. No
-context that was counted is left out of the tables.
+context and no byte after it is left out, whatever its count or its language's share.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ from .common import bounded, table
 ORDER = 3
 #: Bytes of statistics that one training task holds before it passes counts on.
 TRAIN_BYTES = 4 << 20
-#: Grams of all languages that the model is made of: the most frequent.
-TRAIN_GRAMS = 333_333
 #: Bytes of text scored at once.
 SCORE_BYTES = 1 << 20
 
@@ -198,10 +196,11 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def learn(train: DataFrame, order: int = ORDER) -> Model:
     """Model of ``train`` (lang, text); rows with a null in either are left out.
 
-    The counts cover every training row. The TRAIN_GRAMS most frequent come to the driver.
+    The counts cover every training row, and all of them come to the driver: one number for
+    each language and byte sequence of order + 1, a set that the bytes of the languages bound.
     """
     rows = gram_counts(train.where("lang IS NOT NULL AND text IS NOT NULL"), order)
-    got = rows.orderBy(F.desc("n"), "lang", "gram").limit(TRAIN_GRAMS).toArrow()
+    got = rows.toArrow()
     langs = got.column("lang").combine_chunks().dictionary_encode()
     if isinstance(langs, pa.ChunkedArray):
         langs = langs.combine_chunks()
