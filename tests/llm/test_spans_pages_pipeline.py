@@ -148,6 +148,23 @@ def test_article_lines_stay_though_shared_unless_they_are_links():
     assert got == ["A Everyone quotes this.", "B Everyone quotes this."]
 
 
+@pytest.mark.parametrize(
+    "source, lines",
+    [
+        ('<p>x</p><p title=Bob"s>y</p><p>z</p>', ["x", "y", "z"]),
+        ("<p>x</p><p title=Bob's>y</p><p class='k'>don't</p>", ["x", "y", "don't"]),
+        ("<p>a <b and don't</p><p>z</p>", ["a", "z"]),
+        ('<p>x</p><p title="open>y</p><p>z</p>', ["x", "y", "z"]),
+        ('<p>x</p><a title="1>2">y</a><p title = \'a>b\' id=k/>z', ["x", "y", "z"]),
+        ('<p>x</p><p title="1>2" y', ["x", '2" y']),
+        ("<p>x</p><p>y <é z</p><p>i </3 j> k</p>", ["x", "y <é z", "i k"]),
+        ("<p>x</p><p title=k", ["x"]),
+    ],
+)
+def test_unpaired_quotes_do_not_end_the_page(source, lines):
+    assert html_text.parse(source).lines == lines
+
+
 def test_copies_do_not_delete_each_other(spark, none):
     body = "<div><p>Same page</p><p>twice over</p></div>"
     rows = [(k, f"http://h/{k}", body) for k in range(4)] + [(9, None, None), (10, "http://h/9", "<p"), (11, "%%%", "<!-- open <p>x"), (12, "http://h/z", "a &am")]
