@@ -2,6 +2,7 @@ import hashlib
 import html as html_lib
 import random
 import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,6 +101,47 @@ def test_decontamination_matches_brute_force(spark, odd, tmp_path, monkeypatch,
     assert got == want and sum(r[-1] for r in want) >= 8
 
 
+def brute_near(text, bench, missing=1, extra=2):
+    """Stretches and items by trying every stretch with every window."""
+    w, spans, items = words(text), set(), set()
+    for i, t in bench:
+        b = words(t)
+        for k in range(max(1, len(b) - 9) if b else 0):
+            window = Counter(b[k : k + 10])
+            n = sum(window.values())
+            reach = min(n + extra, len(w))
+            for s in range(len(w) - reach + 1 if w else 0):
+                if sum((window & Counter(w[s : s + reach])).values()) >= n - min(missing, n // 4):
+                    spans.add((s, s + reach))
+                    items.add(str(i))
+    return sorted(spans), sorted(items)
+
+
+@pytest.mark.parametrize("bound", [500_000, 0])
+def test_proximity_matches_brute_force(spark, monkeypatch, bound):
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", bound)
+    monkeypatch.setattr(decontamination, "BROADCAST_HITS", bound)
+    rng = random.Random(9)
+    item = "one two three four five six seven eight nine ten eleven twelve"
+    bench = [(1, item), (2, " ".join(rng.choice("abcdefghijkl") for _ in range(14))), (3, "a short item"), (4, "the the the the the"), (5, None), (6, "...")]
+    w = item.split()
+    changed = {
+        "put in": w[:4] + ["x"] + w[4:10], "left out": w[:4] + w[5:10], "changed": w[:3] + ["x"] + w[4:10], "turned": w[:3] + [w[4], w[3]] + w[5:10],
+        "two changed": ["x"] + w[1:3] + ["x"] + w[4:9] + ["x"] * 5, "far": w[:5] + ["x"] * 6 + w[5:10],
+    }
+    texts = ["x y " + " ".join(t) + " z" for t in changed.values()] + ["short a thing item", "item, short a", "the x the the the y the", "", None, "x"]
+    texts += [" ".join(rng.choice("abcdefghijklthe") for _ in range(200)) for _ in range(20)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts * 2)], "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    near = {r.doc_id: r for r in decontamination.contamination(docs, items, matches=decontamination.proximity_matches).collect()}
+    phrases = decontamination.contamination(docs, items).where("doc_id < 6 AND __n_hit > 0")
+    assert phrases.count() == 0
+    for k, t in enumerate(texts * 2):
+        spans, ids = brute_near(t, bench)
+        assert ([tuple(x) for x in near[k]["__spans"] or []], near[k]["__items"]) == (spans, ids)
+    assert [bool(near[k]["__items"]) for k in range(6)] == [True, True, True, True, False, False]
+
+
 def test_decontamination_of_empty_tables(spark, odd, none):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.contamination(odd, bench).where("__n_hit > 0").count() == 0

@@ -3,18 +3,25 @@
 The index holds (term, document, position) postings of the corpus. Of every benchmark
 window the rarest term is its anchor; only anchors' postings are stored. A posting moved
 back by the anchor's offset proposes where the window starts; the lists of the terms next
-to the anchor are intersected at once, and the survivors are checked against the whole
-window, which gives exact phrases. Everything is column expressions and joins.
+to the anchor (read in the text) are compared at once, and the survivors are checked
+against the whole window, which gives exact phrases. For proximity a window has as many
+anchors as words may be missing and one more, so a stretch of text that holds the rest of
+the window holds an anchor. Everything is column expressions and joins.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import discard, lower_ascii, split_words, stash, table
 
 WINDOW = 10
+#: A proximity match: all words of a window but MISSING at most, within EXTRA words more than it has.
+#: Of a short window at most a quarter of the words may be missing.
+MISSING, EXTRA = 1, 2
 #: A table of benchmark terms or windows is broadcast only up to this many rows.
 BROADCAST_ROWS = 500_000
 #: The texts with hits are broadcast only up to this many spans and items; beyond, the join is dealt out.
@@ -106,16 +113,86 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     copies = stash(proposed.where(exact).select("key", F.struct(start.alias("start"), F.col("n"), F.col("window")).alias("hit")), "bench-hits")
     checked = stash(copies.groupBy("key").agg(F.collect_set("hit").alias("hits")), "bench-hits-once")
     spans = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.struct(h.start.alias("start"), (h.start + h.n).alias("end")))))
-    owners = distinct.select("window", "items")
+    return _with_items(checked, spans, distinct, n_windows)
+
+
+def _with_items(checked: DataFrame, spans: Column, distinct: DataFrame, n_windows: int) -> DataFrame:
+    """(key, spans, items) of (key, hits), each hit with its window."""
     per_item = (
         checked.select("key", F.explode(F.array_distinct(F.transform("hits", lambda h: h.window))).alias("window"))
-        .join(small(owners, n_windows), "window")
+        .join(small(distinct.select("window", "items"), n_windows), "window")
         .groupBy("key")
         .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     )
     return stash(checked.select("key", spans.alias("spans")).join(per_item, "key"), "bench-matches")
 
 
+def proximity_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, missing: int = MISSING, extra: int = EXTRA) -> DataFrame:
+    """(key, spans, items) of the rows of ``docs`` (key, text) that hold the words of a window close together.
+
+    A window of n words is held by a stretch of n + ``extra`` words (or the whole text, if
+    shorter) that has all its words, repeats counted and in any order, but for ``missing``
+    at most; never more than a quarter of them. ``spans``
+    are the sorted distinct (start, end) of all such stretches, ``items`` as in
+    ``phrase_matches``, whose matches are among these.
+    """
+    spark = docs.sparkSession
+    found = stash(windows(benchmark, size), "near-windows")
+    # The order of a window's words does not matter here: equal multisets are one window.
+    distinct = stash(
+        found.groupBy(F.array_sort("words").alias("words")).agg(F.array_sort(F.collect_set("item_id")).alias("items")).withColumn("window", F.xxhash64(F.array_join("words", " "))),
+        "near-distinct",
+    )
+    terms = distinct.select(F.explode("words").alias("term")).distinct()
+    n_terms, n_windows = terms.count(), distinct.count()
+    words = docs.select("key", match_words(F.col("text")).alias("w"))
+    every = words.select(F.explode("w").alias("term"))
+    counts = stash(every.join(small(terms, n_terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n")), "near-term-counts")
+    terms_at = distinct.select("window", F.posexplode("words").alias("at", "term"))
+    ranked = terms_at.join(counts, "term", "left").groupBy("window").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("at"), F.col("term")))).alias("r")
+    )
+    lacking = F.least(F.lit(missing), F.floor(F.size("words") / 4)).cast("int")
+    times = F.transform(F.array_distinct("words"), lambda t: F.struct(t.alias("t"), F.size(F.filter("words", lambda x: x == t)).alias("m")))
+    rarest = F.array_distinct(F.transform(F.filter(F.slice("r", F.lit(1), F.col("lacking") + 1), lambda a: a.n > 0), lambda a: a.term))
+    seeds = stash(
+        distinct.withColumn("lacking", lacking).join(ranked, "window").select(
+            "window", "lacking", F.size("words").alias("n"), times.alias("times"), F.array_distinct("words").alias("kinds"), F.explode(rarest).alias("anchor")
+        ),
+        "near-seeds",
+    )
+    anchors = seeds.select(F.col("anchor").alias("term")).distinct()
+    index = stash(term_postings(words).join(small(anchors, n_terms), "term", "left_semi"), "near-postings")
+    by_text = stash(index.groupBy(F.col("key").alias("doc_key")).agg(F.collect_set(F.struct("pos", "term")).alias("postings")), "near-postings-by-text")
+    joined = docs.join(by_text.hint("merge"), F.col("key") == F.col("doc_key"))
+    discard(index)
+    seen = joined.select("key", "postings", match_words(F.col("text")).alias("w"))
+    most = size + extra
+
+    def around(p: Column) -> Column:
+        base = F.greatest(p.pos - (most - 1), F.lit(0))
+        return F.struct(p.pos.alias("pos"), p.term.alias("term"), base.alias("base"), F.size("w").alias("len"), F.slice("w", base + 1, F.lit(2 * most - 1)).alias("near"))
+
+    placed = seen.select("key", F.explode(F.transform("postings", around)).alias("p")).select("key", "p.*")
+    proposed = placed.join(small(seeds, n_windows * (missing + 1)), F.col("term") == F.col("anchor"))
+    # Far most proposals lack too many of the window's different words anywhere near.
+    likely = proposed.where(F.size(F.array_intersect("kinds", "near")) >= F.size("kinds") - F.col("lacking"))
+    reach = F.least(F.col("n") + extra, F.col("len"))
+    starts = F.sequence(F.greatest(F.col("pos") - reach + 1, F.lit(0)), F.least(F.col("pos"), F.col("len") - reach))
+
+    def holds(s: Column) -> Column:
+        stretch = F.slice("near", s - F.col("base") + 1, reach)
+        held = F.aggregate("times", F.lit(0), lambda acc, t: acc + F.least(t.m, F.size(F.filter(stretch, lambda x: x == t.t))))
+        return held >= F.col("n") - F.col("lacking")
+
+    stretches = likely.select("key", "window", reach.alias("reach"), F.explode(F.filter(starts, holds)).alias("start"))
+    hit = F.struct(F.col("start"), (F.col("start") + F.col("reach")).alias("end"), F.col("window"))
+    copies = stash(stretches.select("key", hit.alias("hit")), "near-hits")
+    checked = stash(copies.groupBy("key").agg(F.collect_set("hit").alias("hits")), "near-hits-once")
+    spans = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.struct(h.start.alias("start"), h.end.alias("end")))))
+    return _with_items(checked, spans, distinct, n_windows)
+
+
 def covered(spans: Column) -> Column:
     """How many positions sorted (start, end) spans cover."""
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
@@ -127,15 +204,15 @@ def covered(spans: Column) -> Column:
     return F.aggregate(spans, zero, step, lambda acc: acc.n)
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``docs`` (with a column text) and what of the benchmark each row holds.
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, matches: Callable[..., DataFrame] = phrase_matches) -> DataFrame:
+    """``docs`` (with a column text) and what of the benchmark each row holds, by phrase or by proximity.
 
     Adds n_words, n_hit, items (sorted ids as strings) and spans (word positions). Texts are
     matched once however often they repeat. Null and empty texts have no words and no hits.
     """
     digest = F.substr(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256), F.lit(1), F.lit(32))
     keyed = docs.withColumn("__key", F.unhex(digest)).withColumn("__n_words", F.size(match_words(F.col("text"))).cast("long"))
-    found = phrase_matches(
+    found = matches(
         keyed.where("text IS NOT NULL").select(F.col("__key").alias("key"), F.col("text")), benchmark, size
     ).select(F.col("key").alias("__found"), F.col("spans").alias("__spans"), F.col("items").alias("__items"))
     entries = found.agg(F.sum(F.size("__spans") + F.size("__items") + 1)).first()[0] or 0
@@ -160,3 +237,15 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"),
         (F.col("__n_hit") > 0).alias("contaminated"),
     )
+
+
+def op9_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words close together in all documents: what exact windows miss if a word is put in, left out or changed."""
+    got = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), matches=proximity_matches)
+    return got.select(
+        "doc_id",
+        F.col("__n_words").alias("n_words"),
+        F.col("__n_hit").alias("n_near"),
+        F.size("__items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"),
+    )

@@ -22,6 +22,7 @@ def queries() -> dict[str, Query]:
         "op7_language_model": language_model.op7_language_model,
         "op8_pii": pii.op8_pii,
         "op9_decontamination": decontamination.op9_decontamination,
+        "op9_proximity": decontamination.op9_proximity,
         "op10_toxicity": toxicity.op10_toxicity,
     }
 
