@@ -60,6 +60,16 @@ def test_checksums_and_context(spark):
     assert got == [[("iban", 5, 32, 1.0)], [], [("ssn", 4, 15, 0.6)], [], [("card", 5, 24, 1.0)]]
 
 
+def test_context_reaches_over_the_match_before(spark):
+    texts = ["SSN: 123-45-6789, 234-56-7890", "SSN: 123-45-6789, 234-56-7890, 345-67-8901, 456-78-9012", "ssn" + " " * 38 + "123-45-6789", "ssn" + " " * 37 + "123-45-6789", "ip 10.0.0.1 10.0.0.2 " + "x" * 40 + " 10.0.0.3"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [[(text[s.start : s.end], round(s.score, 2)) for s in spans if s.kind in ("ssn", "ip")] for text, spans in df.select("text", pii.personal_spans(df.text)).collect()]
+    a, b, c = ((n, 0.6) for n in ("123-45-6789", "234-56-7890", "345-67-8901"))
+    assert got[:2] == [[a, b], [a, b, c]]  # the fourth starts at 44, the word at 0
+    assert got[2:4] == [[], [a]]  # the word has to be whole within the 40 before
+    assert got[4] == [("10.0.0.1", 1.0), ("10.0.0.2", 1.0), ("10.0.0.3", 0.7)]
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([("é a@b.cc, 10.0.0.1.",), (None,), ("clean",)], "text string")
     assert [r[0] for r in df.select(pii.redact(df.text, pii.personal_spans(df.text))).collect()] == ["é <email>, <ip>.", None, "clean"]

@@ -89,17 +89,19 @@ def _valid(kind: str, match: Column) -> Column:
 def _kind_spans(text: Column, order: int, kind: Kind) -> Column:
     """Confirmed spans of one kind: array of struct(start, kind_order, kind, end, score)."""
     schema = "array<struct<start:int,kind_order:int,kind:string,end:int,score:double>>"
-    gaps = F.transform(F.split(text, kind.pattern, -1), lambda g: F.struct(F.length(g).alias("gap"), F.right(g, F.lit(WINDOW)).alias("near")))
+    gaps = F.transform(F.split(text, kind.pattern, -1), lambda g: F.struct(F.length(g).alias("gap"), F.right(g, F.lit(WINDOW)).alias("tail")))
     hits = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    zipped = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, m: F.struct(g.gap.alias("gap"), g.near.alias("near"), m.alias("match")))
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,match:string,near:string>>)").alias("found"))
+    zipped = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, m: F.struct(g.gap.alias("gap"), g.tail.alias("tail"), m.alias("match")))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), F.expr("cast(array() as array<struct<start:int,end:int,match:string,near:string>>)").alias("found"))
     keep = lambda z: _valid(kind.name, z.match)
 
     def step(acc: Column, z: Column) -> Column:
         begin = acc.at + z.gap
         end = begin + F.length(z.match)
-        one = F.array(F.struct(begin.alias("start"), end.alias("end"), z.match.alias("match"), z.near.alias("near")))
-        return F.struct(end.alias("at"), F.concat(acc.found, one).alias("found"))
+        # The code points before a match run on through the match before it: ``before`` is their tail.
+        near = F.right(F.concat(acc.before, z.tail), F.lit(WINDOW))
+        one = F.array(F.struct(begin.alias("start"), end.alias("end"), z.match.alias("match"), near.alias("near")))
+        return F.struct(end.alias("at"), F.right(F.concat(near, z.match), F.lit(WINDOW)).alias("before"), F.concat(acc.found, one).alias("found"))
 
     placed = F.aggregate(zipped, start, step, lambda acc: acc.found)
     score = lambda z: F.lit(kind.base) + (F.when(z.near.rlike(rf"(?i)\b(?:{kind.context})"), CONTEXT).otherwise(0.0) if kind.context else 0.0)
