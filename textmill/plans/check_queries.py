@@ -115,9 +115,9 @@ def count_articles(spark, sf_dir):
     )
 
 
-@query("SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY doc_id) <= floor(count(*) OVER () * 0.9) THEN 'train' ELSE 'eval' END AS split FROM documents")
+@query("SELECT doc_id, text, lang, source, CASE WHEN row_number() OVER (ORDER BY doc_id) <= floor(count(*) OVER () * 0.9) THEN 'train' ELSE 'eval' END AS split FROM documents")
 def train_eval_split(spark, sf_dir):
-    return S.split_by_position(read(spark, sf_dir, "documents").select("doc_id"), "doc_id", 0.9)
+    return S.split_by_position(read(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id", 0.9)
 
 
 @query("SELECT doc_id, source, CASE WHEN row_number() OVER (PARTITION BY source ORDER BY doc_id) <= floor(count(*) OVER (PARTITION BY source) * 0.8) THEN 'train' ELSE 'eval' END AS split FROM documents")
@@ -158,13 +158,13 @@ def plan_catalog(spark, sf_dir):
     return S.shuffled_cycle(read(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 6, 11, "lang", "recipe").withColumn("recipe", F.col("recipe").cast("long"))
 
 
-@query("WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents), p AS (SELECT * FROM (VALUES (0, 'novice', 'terse'), (1, 'expert', 'formal'), (2, 'student', 'warm')) v(j, persona, tone)), a AS (SELECT * FROM (VALUES (0, 'definition'), (1, 'cause')) v(k, angle)) SELECT doc_id, i, persona, tone, angle FROM d JOIN p ON i % 3 = j JOIN a ON (i // 3) % 2 = k")
+@query("WITH d AS (SELECT doc_id, text, lang, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents), p AS (SELECT * FROM (VALUES (0, 'novice', 'terse'), (1, 'expert', 'formal'), (2, 'student', 'warm')) v(j, persona, tone)), a AS (SELECT * FROM (VALUES (0, 'definition'), (1, 'cause')) v(k, angle)) SELECT doc_id, text, lang, i, persona, tone, angle FROM d JOIN p ON i % 3 = j JOIN a ON (i // 3) % 2 = k")
 def persona_pairing(spark, sf_dir):
-    docs = S.numbered(read(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], "i")
+    docs = S.numbered(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"), ["doc_id"], "i")
     personas = spark.createDataFrame([(0, "novice", "terse"), (1, "expert", "formal"), (2, "student", "warm")], "j int, persona string, tone string")
     angles = spark.createDataFrame([(0, "definition"), (1, "cause")], "k int, angle string")
     paired = docs.join(F.broadcast(personas), F.col("i") % 3 == F.col("j")).join(F.broadcast(angles), F.floor(F.col("i") / 3) % 2 == F.col("k"))
-    return paired.select("doc_id", "i", "persona", "tone", "angle")
+    return paired.select("doc_id", "text", "lang", "i", "persona", "tone", "angle")
 
 
 @query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
