@@ -22,14 +22,43 @@ def _turns(spark: SparkSession, sf_dir: str, role: str) -> DataFrame:
 
 
 def _sql_norm(t: str) -> str:
-    return f"trim(regexp_replace(translate(replace(lower({t}),'ß','ss'), '{P.ACCENTS[0]}', '{P.ACCENTS[1]}'),'\\s+',' ','g'))"
+    return f"trim(regexp_replace(strip_accents(replace(lower({t}),'ß','ss')),'\\s+',' ','g'))"
+
+
+# The oracle's own values, written out apart from the engine's.
+SQL_TASKS = (
+    ("translation", "oversæt|translate|translate into|oversaet"),
+    ("rewrite", "omskriv|rephrase|rewrite|redigér|rediger|edit|omformuler"),
+    ("classification", "klassificér|klassificer|classify|categorize|kategoriser"),
+    ("summarization", "opsummér|opsummer|summarize|resumer|reduce following text|reducer følgende tekst"),
+    ("comparison", "sammenlign|compare|forklar forskellen|what is the difference|hvad er forskellen"),
+    ("listing", "oplist|list|angiv|nævn|naevn|give me a list|generer en liste"),
+    ("analysis", "analyser|analyze|analyse|fortolk|interpret|vurder|evaluate"),
+    ("recommendation", "foreslå|anbefal|recommend|suggest|giv et råd|give advice"),
+    ("explanation", "forklar|explain|beskriv|describe|hvad er|what is|hvordan|how does|why does|hvorfor"),
+    ("creative", "skriv|write|fortæl|tell|opfind|invent|lav et|create a"),
+)
+SQL_WORDS = {
+    "stops": {
+        "en": "a an and are as at be by for from how if in into is it of on or the this that to using what when where which who why with write list give generate create describe explain compare summarize translate classify recommend suggest answer response one two three four five six seven eight nine ten eleven twelve",
+        "da": "af at de den der det en et for fra hvad hvem hvilke hvilken hvilket hvor hvordan hvorfor i med og om på som til ud ved skriv oplist angiv nævn forklar sammenlign opsummer oversæt klassificer anbefal foreslå svar svaret ét to tre fire fem seks syv otte ni ti elleve tolv",
+    },
+    "numbers": {
+        "en": "one two three four five six seven eight nine ten eleven twelve",
+        "da": "et to tre fire fem seks syv otte ni ti elleve tolv",
+    },
+}
+
+
+def _sql_list(words: str) -> str:
+    return "[" + ",".join(f"'{w}'" for w in words.split()) + "]"
 
 
 def _sql_task(t: str) -> str:
     norm = _sql_norm(t)
     cases = " ".join(
-        "WHEN " + " OR ".join(f"starts_with(split_part({norm}, ':', 1), '{p}') OR contains({norm}, ' {p} ')" for p in patterns) + f" THEN '{name}'"
-        for name, patterns in P.TASK_PATTERNS
+        "WHEN " + " OR ".join(f"starts_with(split_part({norm}, ':', 1), '{p}') OR contains({norm}, ' {p} ')" for p in patterns.split("|")) + f" THEN '{name}'"
+        for name, patterns in SQL_TASKS
     )
     return f"CASE {cases} WHEN contains({t}, '?') THEN 'question_answering' ELSE 'general_generation' END"
 
@@ -42,7 +71,7 @@ def _sql_length(t: str) -> str:
 KEEP = (
     "len(text) BETWEEN 40 AND 700 AND len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '')) <= 12 AND NOT contains(text, '```') "
     "AND len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> '' AND regexp_matches(x, '^\\s*(?:[-*]|\\d+[.)])\\s+'))) < 3 "
-    "AND NOT contains(replace(lower(text),'ß','ss'), 'bullet list') AND NOT contains(replace(lower(text),'ß','ss'), 'do not use') AND NOT contains(replace(lower(text),'ß','ss'), 'exactly ')"
+    "AND NOT regexp_matches(replace(lower(text),'ß','ss'), 'additional requirements|yderligere krav|return valid json|returner gyldig json|return valid xml|returner gyldig xml|numbered list|nummereret liste|bullet list|punktopstilling|start the response|begynd svaret|end the response|afslut svaret|do not use|brug ikke|exactly |præcis ')"
 )
 
 
@@ -51,12 +80,9 @@ def prompt_keep(spark, sf_dir):
     return _turns(spark, sf_dir, "user").where(P.keep_prompt(F.col("text"))).select("conv_id", "turn")
 
 
-STOPS = ",".join(f"'{w}'" for w in [*P.KEYWORD_STOPS, *P.NUMBERS])
-
-
 @query(
     f"SELECT conv_id, turn, {_sql_task('text')} AS task_type, {_sql_length('text')} AS length_bucket, "
-    f"array_to_string(list_filter(list_distinct_ordered, lambda x: len(x) > 2 AND NOT list_contains([{STOPS}], x))[1:12], ' ') AS keywords FROM ("
+    f"array_to_string(list_filter(list_distinct_ordered, lambda x: len(x) > 2 AND NOT list_contains({_sql_list(SQL_WORDS['stops']['en'])}, x))[1:12], ' ') AS keywords FROM ("
     f"SELECT *, list_transform(list_filter(range(1, len(w)+1), lambda i: list_position(w, w[i]) = i), lambda i: w[i]) AS list_distinct_ordered FROM ("
     f"SELECT *, list_transform(regexp_extract_all(text, '{WORD}'), lambda x: replace(lower(x),'ß','ss')) AS w FROM ({USERS})))"
 )
@@ -67,6 +93,56 @@ def prompt_profile(spark, sf_dir):
     )
 
 
+TEMPLATES = {
+    "da": (
+        "Oversæt følgende tekst til engelsk: {}", "Nævn tre grunde til at besøge {}", "Fortæl en historie om {} i to linjer", "Skriv fem sætninger om {}.",
+        "Hvad er hovedstaden i {}?", "Giv et råd om {} og to idéer", "Foreslå syv måder at nå {}", "Sammenlign {} og Danmark: hvad er forskellen i pris?",
+        "Beregn prisen på 12 billetter til {}", "Opsummér teksten om {} i én linje", "Kan du anbefal {} til ti venner, punkter tak", "Findes {}?", "Åen i {} løber",
+    ),
+    "en": (
+        "Translate two lines about {} into Danish", "List three facts about {}", "Write twelve sentences on {}", "Explain how the price in {} is calculated", "Is {} far?",
+        "Please rewrite this: {}", "Create a poem of 4 lines on {}", "Recommend five ways to see {}", "Numbers 13 and 2 in {} points: suggest items",
+    ),
+}
+SQL_HINTS = {"en": "list|ideas|examples|steps|ways|facts|reasons|items|bullet|points", "da": "liste|idéer|ideer|eksempler|trin|måder|punkter|fakta|grunde"}
+SQL_MATH = {"en": "calculate|cost|price|watt|kwh|percent|plus|minus|total|expected", "da": "beregn|koste|pris|watt|kwh|procent|plus|minus|i alt|forventer"}
+SQL_UNITS = {"en": ("'sentence','sentences'", "'line','lines'"), "da": ("'sætning','sætninger'", "'linje','linjer'")}
+
+
+def _sql_features(lang: str) -> str:
+    """The features of the templates of one language, by the oracle's own words."""
+    texts = " UNION ALL ".join(f"SELECT n_nationkey AS k, {j} AS template, '{lang}' AS lang, replace('{t}', '{{}}', lower(n_name)) AS text FROM nation" for j, t in enumerate(TEMPLATES[lang]))
+    value = f"CASE WHEN regexp_matches(x, '^\\d{{1,9}}$') THEN CAST(x AS INTEGER) " + ("WHEN x = 'en' THEN 1 " if lang == "da" else "") + f"ELSE nullif(list_position({_sql_list(SQL_WORDS['numbers'][lang])}, x), 0) END"
+    near = lambda units: f"list_filter(range(1, len(toks)), lambda i: list_contains([{units}], toks[i + 1]) AND vals[i] BETWEEN 1 AND 12)"
+    count = lambda units: f"vals[({near(units)})[1]]"
+    asks = "kind IN ('classification','creative','listing','recommendation','translation')"
+    return (
+        f"SELECT k, template, lang, kind, items, sentences, lines, numeric, CASE WHEN numeric OR sentences IS NOT NULL OR lines IS NOT NULL OR kind IN ('translation','classification') THEN 'rigid' "
+        "WHEN items IS NOT NULL OR kind IN ('analysis','comparison','explanation','question_answering','rewrite','summarization') THEN 'medium' ELSE 'open' END AS rigidity, keywords FROM ("
+        f"SELECT *, CASE WHEN {asks} AND (kind = 'translation' OR regexp_matches(norm, '{SQL_HINTS[lang]}')) THEN list_filter(vals, lambda v: v BETWEEN 2 AND 10)[1] END AS items, "
+        f"{count(SQL_UNITS[lang][0])} AS sentences, {count(SQL_UNITS[lang][1])} AS lines, "
+        f"kind IN ('analysis','comparison','explanation','question_answering') AND (regexp_matches(text, '\\d') OR regexp_matches(norm, '{SQL_MATH[lang]}')) AS numeric, "
+        f"array_to_string(list_filter(list_transform(list_filter(range(1, len(w)+1), lambda i: list_position(w, w[i]) = i), lambda i: w[i]), lambda x: len(x) > 2 AND NOT list_contains({_sql_list(SQL_WORDS['stops'][lang])}, x))[1:12], ' ') AS keywords FROM ("
+        f"SELECT *, list_transform(toks, lambda x: {value}) AS vals FROM (SELECT *, {_sql_task('text')} AS kind, {_sql_norm('text')} AS norm, regexp_extract_all({_sql_norm('text')}, '\\d+|{WORD}') AS toks, "
+        f"list_transform(regexp_extract_all(text, '{WORD}'), lambda x: replace(lower(x),'ß','ss')) AS w FROM ({texts}))))"
+    )
+
+
+@query(f"{_sql_features('da')} UNION ALL {_sql_features('en')}")
+def prompt_features(spark, sf_dir):
+    """What Danish and English prompts ask for; the prompts are templates filled with every nation's name."""
+    rows = [(lang, j, t) for lang, group in TEMPLATES.items() for j, t in enumerate(group)]
+    forms = F.broadcast(spark.createDataFrame(rows, "lang string, template int, form string"))
+    filled = read(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("k"), F.lower("n_name").alias("name")).crossJoin(forms)
+    prompts = filled.select("k", "template", "lang", F.replace("form", F.lit("{}"), F.col("name")).alias("text")).withColumn("kind", P.task_type(F.col("text")))
+    text, kind = F.col("text"), F.col("kind")
+    features = {
+        "items": lambda x: P.item_count(text, kind, x), "sentences": lambda x: P.units_before(text, P.SENTENCES[x], x), "lines": lambda x: P.units_before(text, P.LINES[x], x),
+        "numeric": lambda x: P.numeric_task(text, kind, x), "rigidity": lambda x: P.rigidity(text, kind, x), "keywords": lambda x: F.array_join(P.keywords(text, lang=x), " "),
+    }
+    return prompts.select("k", "template", "lang", "kind", *[F.when(F.col("lang") == "da", f("da")).otherwise(f("en")).alias(name) for name, f in features.items()])
+
+
 @query(f"SELECT conv_id, turn FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY {_sql_norm('text')} ORDER BY conv_id * 1000 + turn) AS r FROM ({USERS})) WHERE r = 1")
 def prompt_dedup(spark, sf_dir):
     rows = _turns(spark, sf_dir, "user").select("conv_id", "turn", F.md5(P.normalize_prompt(F.col("text"))).alias("h"), (F.col("conv_id") * 1000 + F.col("turn")).alias("ord"))
