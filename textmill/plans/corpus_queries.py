@@ -25,9 +25,12 @@ def _chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.chunk(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-def _overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), T.tokens(F.col("text")).alias("tokens"))
-    return C.overlaps(items, C.token_index(_chunks(spark, sf_dir)))
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), T.tokens(F.col("text")).alias("tokens"))
+
+
+def _top(spark: SparkSession, sf_dir: str, k: int, per_source: bool = False) -> DataFrame:
+    return C.retrieve(_items(spark, sf_dir), _chunks(spark, sf_dir), k, per_source)
 
 
 @query(f"SELECT doc_id, {sql_clean('text')} AS text FROM documents")
@@ -95,7 +98,7 @@ def lexical_index(spark, sf_dir):
 
 @query(RETRIEVAL + "SELECT query_id, rank, doc_id, chunk_no, word_count, overlap FROM top WHERE rank <= 5")
 def retrieve_support(spark, sf_dir):
-    return C.top_k(_overlaps(spark, sf_dir), 5).select("query_id", "rank", "doc_id", "chunk_no", "word_count", "overlap")
+    return _top(spark, sf_dir, 5)
 
 
 @query(
@@ -104,10 +107,52 @@ def retrieve_support(spark, sf_dir):
     "SELECT query_id, place, doc_id, chunk_no, overlap FROM b WHERE place <= 6"
 )
 def bridge_sources(spark, sf_dir):
-    best = C.top_k(C.one_per_source(_overlaps(spark, sf_dir)), 6).withColumnRenamed("rank", "place")
+    best = _top(spark, sf_dir, 6, per_source=True).withColumnRenamed("rank", "place")
     return best.select("query_id", "place", "doc_id", "chunk_no", "overlap")
 
 
+OWN = (
+    f"WITH ch AS ({CHUNKS}), ix AS (SELECT doc_id, chunk_no, word_count, unnest({sql_index('text')}) AS token FROM ch), "
+    f"q AS (SELECT doc_id AS own, 'doc-' || doc_id AS query_id, unnest(list_distinct({sql_tokens('st')})) AS token FROM (SELECT doc_id, {sql_sentences('text')}[1] AS st FROM documents WHERE doc_id % 100 = 0)), "
+    "ov AS (SELECT query_id, own, doc_id, chunk_no, word_count, count(*) AS overlap FROM q JOIN ix USING (token) GROUP BY ALL), "
+)
+
+
+@query(
+    OWN + "top AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY overlap DESC, (doc_id = own) DESC, word_count DESC, doc_id, chunk_no) AS rank FROM ov) "
+    "SELECT query_id, rank, doc_id, chunk_no, word_count, overlap FROM top WHERE rank <= 5"
+)
+def retrieve_own_first(spark, sf_dir):
+    """First sentences of every hundredth document as queries against all chunks; the own document breaks ties."""
+    return C.retrieve(_own_queries(spark, sf_dir), _chunks(spark, sf_dir), 5)
+
+
+def _own_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    asked = read(spark, sf_dir, "documents").where("doc_id % 100 = 0")
+    first = T.tokens(F.get(T.sentences(F.col("text")), F.lit(0)))
+    return asked.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("query_id"), F.col("doc_id").alias("own"), first.alias("tokens"))
+
+
+@query(
+    OWN + "one AS (SELECT *, row_number() OVER (PARTITION BY query_id, doc_id ORDER BY overlap DESC, word_count DESC, chunk_no) AS r FROM ov), "
+    "b AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY overlap DESC, (doc_id = own) DESC, word_count DESC, doc_id, chunk_no) AS pl FROM one WHERE r = 1), "
+    "p AS (SELECT query_id, 0 AS after, pl, doc_id FROM (SELECT 'doc-' || d.doc_id AS query_id, row_number() OVER (PARTITION BY d.doc_id ORDER BY e.doc_id DESC) AS pl, e.doc_id FROM documents d JOIN documents e ON e.doc_id BETWEEN d.doc_id + 1 AND d.doc_id + 2 WHERE d.doc_id % 100 = 0) "
+    "UNION ALL SELECT query_id, 1, pl, doc_id FROM b WHERE pl <= 4), "
+    "f AS (SELECT *, row_number() OVER (PARTITION BY query_id, doc_id ORDER BY after, pl) AS r FROM p), "
+    "c AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY after, pl, doc_id) AS citation_id FROM f WHERE r = 1) "
+    "SELECT query_id, citation_id, doc_id FROM c WHERE citation_id <= 4"
+)
+def preferred_sources(spark, sf_dir):
+    """Grounded retrieval: the plan's sources (here the next two documents, the later first) go before what was found."""
+    found = C.retrieve(_own_queries(spark, sf_dir), _chunks(spark, sf_dir), 4, per_source=True)
+    ids = read(spark, sf_dir, "documents").select("doc_id")
+    near = read(spark, sf_dir, "documents").where("doc_id % 100 = 0").select("doc_id", F.explode(F.array(F.lit(1), F.lit(2))).alias("d"))
+    preferred = near.select(
+        F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("query_id"), (3 - F.col("d")).alias("place"), (F.col("doc_id") + F.col("d")).alias("doc_id")
+    ).join(ids, "doc_id", "left_semi")
+    return C.preferred_first(found, preferred, 4)
+
+
 SENTENCES = f"SELECT doc_id, CAST(i-1 AS INTEGER) AS sentence_no, s[i] AS sentence FROM (SELECT doc_id, s, unnest(range(1, least(len(s),8)+1)) AS i FROM (SELECT doc_id, {sql_sentences('text')} AS s FROM documents))"
 
 
@@ -142,7 +187,7 @@ def seed_source(spark, sf_dir):
 def planning_claims(spark, sf_dir):
     """The first distinct sentences of the ranked sources."""
     chunks = _chunks(spark, sf_dir)
-    top = C.top_k(_overlaps(spark, sf_dir), 5).select("query_id", "rank", "doc_id", "chunk_no")
+    top = _top(spark, sf_dir, 5).select("query_id", "rank", "doc_id", "chunk_no")
     said = top.join(chunks, ["doc_id", "chunk_no"]).select("query_id", "rank", F.posexplode(T.sentences(F.col("text"))).alias("i", "claim"))
     first = said.groupBy("query_id", "claim").agg(F.min(F.struct("rank", "i")).alias("at"))
     placed = first.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy("at")))
@@ -174,7 +219,7 @@ GROUNDED = (
 )
 def grounding_reasons(spark, sf_dir):
     """Benchmark items as answers, their retrieved chunks as evidence."""
-    top = C.top_k(_overlaps(spark, sf_dir), 5).select("query_id", "doc_id", "chunk_no")
+    top = _top(spark, sf_dir, 5).select("query_id", "doc_id", "chunk_no")
     tokens = _chunks(spark, sf_dir).select("doc_id", "chunk_no", F.array_distinct(T.tokens(F.col("text"))).alias("tk"))
     # At most five chunks an item: the gathered evidence is bounded.
     evidence = top.join(tokens, ["doc_id", "chunk_no"]).groupBy("query_id").agg(F.array_distinct(F.flatten(F.collect_list("tk"))).alias("ev"))
@@ -189,14 +234,14 @@ def grounding_reasons(spark, sf_dir):
 
 
 @query(
-    f"WITH s AS (SELECT doc_id, unnest({sql_sentences('text')}[1:3]) AS st, {sql_sentences('text')}[1] AS src FROM documents), "
+    f"WITH s AS (SELECT doc_id, unnest({sql_sentences('text')}) AS st, {sql_sentences('text')}[1] AS src FROM documents), "
     f"k AS (SELECT doc_id, list_filter(list_distinct({sql_tokens('st')}), lambda x: len(x) > 2 AND NOT list_contains([{STOPS}], x)) AS a, list_filter(list_distinct({sql_tokens('src')}), lambda x: len(x) > 2 AND NOT list_contains([{STOPS}], x)) AS b FROM s), "
     "o AS (SELECT doc_id, len(a) AS n, len(list_intersect(a, b)) AS sh FROM k) "
     "SELECT doc_id, count(*) AS statements, count(*) FILTER (n > 0 AND (sh = n OR CASE WHEN n <= 2 THEN sh = n WHEN n <= 4 THEN sh >= greatest(2, n - 1) ELSE sh >= 3 AND sh / n >= 0.3 END)) AS supported FROM o GROUP BY doc_id"
 )
 def citation_support(spark, sf_dir):
-    """The first three sentences as statements that cite the first one."""
-    docs = read(spark, sf_dir, "documents").select("doc_id", F.slice(T.sentences(F.col("text")), 1, 3).alias("s"))
+    """All sentences as statements that cite the first one."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", T.sentences(F.col("text")).alias("s"))
     each = docs.select("doc_id", F.explode("s").alias("st"), F.get("s", F.lit(0)).alias("src"))
     ok = G.statement_supported(T.meaningful(F.col("st")), T.meaningful(F.col("src")))
     return each.groupBy("doc_id").agg(F.count(F.lit(1)).alias("statements"), F.count_if(ok).alias("supported"))
@@ -210,12 +255,12 @@ def hash_spec(spark, sf_dir):
     )
 
 
-@query("SELECT doc_id, CAST(list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(k, ''), lambda c: CAST(unicode(c) AS BIGINT))), lambda h, c: (h*33+c) % 2147483647) % 17 AS BIGINT) AS idx FROM (SELECT doc_id, source || ':' || lang || ':' || substr(text, 1, 24) AS k FROM documents)")
+@query("SELECT doc_id, CAST(list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(k, ''), lambda c: CAST(unicode(c) AS BIGINT))), lambda h, c: (h*33+c) % 2147483647) % 17 AS BIGINT) AS idx FROM (SELECT doc_id, source || ':' || lang || ':' || doc_id || ':' || text AS k FROM documents)")
 def stable_index(spark, sf_dir):
-    k = F.concat_ws(":", "source", "lang", F.substring("text", 1, 24))
+    k = F.concat_ws(":", "source", "lang", "doc_id", "text")
     return read(spark, sf_dir, "documents").select("doc_id", T.stable_index(k, 17).alias("idx"))
 
 
-@query("SELECT doc_id, nullif(regexp_replace(regexp_replace(lower(head), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), '') AS slug, CASE WHEN len(line) > 220 THEN rtrim(line[1:219]) || '…' ELSE line END AS excerpt FROM (SELECT doc_id, substr(text, 1, 40) AS head, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS line FROM documents)")
+@query("SELECT doc_id, nullif(regexp_replace(regexp_replace(lower(head), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), '') AS slug, CASE WHEN len(line) > 220 THEN rtrim(line[1:219]) || '…' ELSE line END AS excerpt FROM (SELECT doc_id, text AS head, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS line FROM documents)")
 def slugs_and_excerpts(spark, sf_dir):
-    return read(spark, sf_dir, "documents").select("doc_id", T.slug(F.substring("text", 1, 40)).alias("slug"), T.excerpt(F.col("text")).alias("excerpt"))
+    return read(spark, sf_dir, "documents").select("doc_id", T.slug(F.col("text")).alias("slug"), T.excerpt(F.col("text")).alias("excerpt"))

@@ -37,12 +37,12 @@ def _sql_recall(t: str) -> str:
     return f"regexp_replace(regexp_replace(regexp_replace({t}, '\\s+', ' ', 'g'), '\\s+([.,;:!?])', '\\1', 'g'), '^[ -]+|[ -]+$', '', 'g')"
 
 
-_CLAIM = "'According to the evidence , the source ' || substr(text, 1, 60) || ' - the text states that evidence -'"
+_CLAIM = "'According to the evidence , the source ' || text || ' - the text states that evidence -'"
 
 
 @query(f"SELECT item_id, {_sql_recall('trim(' + _CLAIM + ')')} AS claim FROM benchmark")
 def recall_text(spark, sf_dir):
-    claim = F.concat(F.lit("According to the evidence , the source "), F.substring("text", 1, 60), F.lit(" - the text states that evidence -"))
+    claim = F.concat(F.lit("According to the evidence , the source "), F.col("text"), F.lit(" - the text states that evidence -"))
     return read(spark, sf_dir, "benchmark").select("item_id", V.recall_text(claim).alias("claim"))
 
 
