@@ -209,3 +209,20 @@ def test_sharding_query_balances_bytes(spark):
     for r in rows:
         totals[r.shard] += r["size"]
     assert set(totals) == set(range(16)) and max(totals.values()) <= 1.2 * sum(totals.values()) / 16 + max(r["size"] for r in rows)
+
+
+def test_sharding_goes_through_levels_of_buckets(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "FAN_IN", 3)  # 200 texts need several levels
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = sharding.shard_by_bytes(docs, 4).collect()
+    assert len(rows) == docs.count()
+    sizes, slots = Counter(), defaultdict(list)
+    for r in rows:
+        sizes[r.shard] += r["size"]
+        slots[r.shard].append(r.slot)
+    assert set(sizes) == {0, 1, 2, 3} and max(sizes.values()) - min(sizes.values()) <= 2 * max(r["size"] for r in rows)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    by_text = defaultdict(set)
+    for r in rows:
+        by_text[r.text_crc32, r["size"]].add(r.shard)
+    assert all(len(s) == 1 for s in by_text.values())

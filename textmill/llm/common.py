@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import atexit
 import re
-import shutil
-import tempfile
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import discard, shared_dir, stash
+
+__all__ = ["bounded", "bucket_count", "discard", "free_names", "gapless_rank", "let", "lower_ascii", "shared_dir", "split_words", "stash", "table", "words_of"]
+
 #: Words of the contracts: maximal runs of anything but ASCII white space.
 SPACE = r"[\x20\x09-\x0D]+"
 BATCH_BYTES = 8 << 20
@@ -22,20 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    It is what the session names in ``spark.checkpoint.dir``. Only a session that
-    names none (a local test) gets a folder of its own.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", "")
-    if not named:
-        named = tempfile.mkdtemp(prefix="textmill-")
-        atexit.register(shutil.rmtree, named, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named
-
-
 def bounded(df: DataFrame) -> DataFrame:
     """``df``, its session's Arrow batches held to BATCH_BYTES.
 
@@ -49,25 +35,15 @@ def bounded(df: DataFrame) -> DataFrame:
     return df
 
 
-def stash(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the shared folder and read it back.
-
-    Unlike a local checkpoint this survives the loss of any executor.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/textmill-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def discard(df: DataFrame) -> None:
-    """Delete the files of a stashed table that nothing will read again."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for f in df.inputFiles()[:1]:
-        path = jvm.org.apache.hadoop.fs.Path(f).getParent()
-        if path.getName().startswith("textmill-"):
-            path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def free_names(taken: Sequence[str], *wanted: str) -> list[str]:
+    """``wanted``, each with underscores before it until it is no column of ``taken`` (case aside)."""
+    used, out = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -98,9 +74,9 @@ def lower_ascii(text: Column) -> Column:
     return F.when(ascii_only, F.lower(text)).otherwise(slow)
 
 
-def bucket_count(rows: int, per_bucket: int, most: int = 4096) -> int:
-    """How many hash buckets keep about ``per_bucket`` rows in each."""
-    return int(max(1, min(most, -(-rows // per_bucket))))
+def bucket_count(rows: int, per_bucket: int) -> int:
+    """How many hash buckets keep about ``per_bucket`` rows in each, whatever the rows are."""
+    return int(max(1, -(-rows // per_bucket)))
 
 
 def gapless_rank(df: DataFrame, group: str, order: Sequence[str], out: str, buckets: int) -> DataFrame:

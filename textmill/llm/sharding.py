@@ -2,9 +2,9 @@
 
 Equal texts form a group that stays whole. A partial partition is a vector of shard sums;
 differencing takes the two vectors of largest spread and adds them oppositely ordered,
-until one is left. It runs inside hash buckets of groups, and once more over the buckets'
-final vectors, of which there are at most ``buckets``; no task sees all groups and the
-driver sees one vector for each bucket.
+until one is left. It runs inside hash buckets of groups, then inside buckets of the
+buckets' final vectors, level by level, until so few are left that the driver combines
+them. No task and not the driver ever sees more than a level's fan-in of them.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bucket_count, gapless_rank, stash, table
+from .common import bucket_count, discard, gapless_rank, stash, table
 
-GROUPS_PER_BUCKET, MOST_BUCKETS = 2_000, 4096
+#: Partial partitions that are combined at a time: groups in a bucket, buckets in the next level's.
+FAN_IN = 2_000
 
 
 def differencing(vectors: Sequence[Sequence[int]], shards: int) -> tuple[list[list[int]], list[int]]:
@@ -66,44 +67,64 @@ def differencing(vectors: Sequence[Sequence[int]], shards: int) -> tuple[list[li
     ], [s for s, _ in last]
 
 
-def partition_groups(groups: DataFrame, shards: int, buckets: int) -> DataFrame:
-    """(key, shard) for every row of ``groups`` (key string, weight long); keys are distinct."""
+def combine(parts: DataFrame, shards: int) -> DataFrame:
+    """Differencing inside every bucket of ``parts`` (bucket int, key string, sums array<long>).
 
-    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def settle(bucket: int, rows: list[tuple[str, int]]) -> pa.RecordBatch:
-            own, sums = differencing([(w,) for _, w in rows], shards)
+    Gives (bucket, key, to, sums): ``to`` holds for each of the key's sums the part of the
+    bucket's vector that it goes into; that vector is in ``sums`` of one row a bucket.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(bucket: int, rows: list[tuple[str, list[int]]]) -> pa.RecordBatch:
+            own, sums = differencing([v for _, v in rows], shards)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([bucket] * len(rows), pa.int32()),
                     pa.array([k for k, _ in rows], pa.string()),
-                    pa.array([x[0] for x in own], pa.int32()),
+                    pa.array(own, pa.list_(pa.int32())),
                     pa.array([sums if k == 0 else None for k in range(len(rows))], pa.list_(pa.int64())),
                 ],
-                names=["bucket", "key", "part", "sums"],
+                names=["bucket", "key", "to", "sums"],
             )
 
         now, rows = None, []
         for batch in batches:
-            for bucket, key, weight in zip(*(batch.column(n).to_pylist() for n in ("bucket", "key", "weight"))):
+            for bucket, key, sums in zip(*(batch.column(n).to_pylist() for n in ("bucket", "key", "sums"))):
                 if bucket != now and rows:
                     yield settle(now, rows)
                     rows = []
                 now = bucket
-                rows.append((key, weight))
+                rows.append((key, sums))
         if rows:
             yield settle(now, rows)
 
+    dealt = parts.repartition("bucket").sortWithinPartitions("bucket", F.desc(F.array_max("sums")), "key")
+    return dealt.select("bucket", "key", "sums").mapInArrow(run, "bucket int, key string, to array<int>, sums array<long>")
+
+
+def partition_groups(groups: DataFrame, shards: int, buckets: int) -> DataFrame:
+    """(key, shard) for every row of ``groups`` (key string, weight long); keys are distinct."""
     spark = groups.sparkSession
-    dealt = groups.select("key", "weight", F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket"))
-    local = stash(
-        dealt.repartition("bucket").sortWithinPartitions("bucket", F.desc("weight"), "key").mapInArrow(inside, "bucket int, key string, part int, sums array<long>"), "shard-parts"
-    )
-    # One vector for each bucket: at most MOST_BUCKETS rows of ``shards`` numbers.
-    vectors = sorted((r.bucket, list(r.sums)) for r in local.where("sums IS NOT NULL").select("bucket", "sums").collect())
-    to, _ = differencing([v for _, v in vectors], shards)
-    rows = [(b, j, s) for (b, _), own in zip(vectors, to) for j, s in enumerate(own)]
-    whole = spark.createDataFrame(rows, "b int, p int, shard int")
-    return local.join(F.broadcast(whole), (F.col("bucket") == F.col("b")) & (F.col("part") == F.col("p"))).select("key", "shard")
+    dealt = groups.select(F.pmod(F.xxhash64("key"), F.lit(buckets)).cast("int").alias("bucket"), "key", F.array("weight").alias("sums"))
+    levels = [stash(combine(dealt, shards), "shard-parts")]
+    while True:
+        vectors = levels[-1].where("sums IS NOT NULL").select("bucket", "sums")
+        count = vectors.count()
+        if count <= FAN_IN:
+            break
+        above = F.pmod(F.xxhash64("bucket"), F.lit(bucket_count(count, FAN_IN))).cast("int")
+        levels.append(stash(combine(vectors.select(above.alias("bucket"), F.col("bucket").cast("string").alias("key"), "sums"), shards), "shard-level"))
+    # One vector for each bucket of the last level: at most FAN_IN rows of ``shards`` numbers.
+    last = sorted((r.bucket, list(r.sums)) for r in vectors.collect())
+    to, _ = differencing([v for _, v in last], shards)
+    rows = [(b, j, s) for (b, _), own in zip(last, to) for j, s in enumerate(own)]
+    whole = F.broadcast(spark.createDataFrame(rows, "b int, p int, shard int"))
+    for level in reversed(levels[1:]):
+        below = level.select("bucket", F.col("key").cast("int").alias("below"), F.posexplode("to").alias("part", "goes"))
+        whole = below.join(whole, (F.col("bucket") == F.col("b")) & (F.col("goes") == F.col("p"))).select(F.col("below").alias("b"), F.col("part").alias("p"), "shard")
+        whole = whole.hint("merge")
+    first = levels[0].select("bucket", "key", F.element_at("to", 1).alias("part"))
+    return first.join(whole, (F.col("bucket") == F.col("b")) & (F.col("part") == F.col("p"))).select("key", "shard")
 
 
 def shard_by_bytes(docs: DataFrame, shards: int = 16) -> DataFrame:
@@ -111,7 +132,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16) -> DataFrame:
 
     Size is the text's UTF-8 bytes plus 1 (null: 1, its checksum that of no bytes). Equal
     texts share a shard; null counts as the empty text. Slots are gapless from 0 in each
-    shard. An empty table gives no rows.
+    shard. Repeated rows are rows of one group; ties go by the checksum, so every run gives
+    the same shards. Extra columns are left out. An empty table gives no rows.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = stash(
@@ -124,8 +146,8 @@ def shard_by_bytes(docs: DataFrame, shards: int = 16) -> DataFrame:
         "shard-rows",
     )
     groups = stash(rows.groupBy("key").agg(F.sum("size").alias("weight")), "shard-groups")
-    buckets = bucket_count(groups.count(), GROUPS_PER_BUCKET, MOST_BUCKETS)
-    parts = partition_groups(groups, shards, buckets).withColumnRenamed("key", "group_key")
+    parts = partition_groups(groups, shards, bucket_count(groups.count(), FAN_IN)).withColumnRenamed("key", "group_key")
+    discard(groups)
     placed = rows.join(parts, rows.key == parts.group_key).drop("group_key", "key")
     many = bucket_count(rows.count() // shards, 5_000)
     return gapless_rank(placed, "shard", ["doc_id", "text_crc32", "size"], "slot", max(many, 64))
