@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from textmill.llm import language_id, language_model, quality, toxicity
 from textmill.llm.common import table
@@ -218,10 +219,35 @@ def test_language_model_shares_add_up_to_one(spark):
     v = language_model.gather(counts, 4)
     assert (v.tokens, v.kinds) == (24, 6) and abs(v.share.sum() - 1) < 1e-12
     for last, words in ((ord("a"), [2, 1]), (ord("b"), [1])):
-        if not any(w[-1] == last and w in v.own for w in v.counts):
+        if not any(w[-1] == last and v.symbols[k] > v.end for w, k in v.place.items()):
             assert abs(sum((c + 1) / 10 ** v.class_norm[last] for c in [*words, 0]) - 1) < 1e-12
 
 
+def test_language_model_does_not_depend_on_the_files(spark, folder, monkeypatch):
+    monkeypatch.setattr(language_model, "HEAD", 300)
+    docs, got = table(spark, "/root/testdata/sf0.001", "documents"), []
+    for files in (1, 7):
+        docs.orderBy(F.xxhash64("doc_id", F.lit(files))).repartition(files).write.mode("overwrite").parquet(f"{folder()}/{files}/documents.parquet")
+        rows = language_model.op7_language_model(spark, f"{folder()}/{files}").collect()
+        got.append({r.doc_id: (r.score, r.base_score) for r in rows})
+    assert got[0].keys() == got[1].keys()
+    for k, (score, base) in got[0].items():
+        assert abs(score - got[1][k][0]) < 1e-4 * abs(score) and abs(base - got[1][k][1]) < 1e-9 * abs(base)
+
+
+def test_language_model_scores_a_text_alone_as_among_others():
+    rng = np.random.default_rng(4)
+    start, move, emit = rng.dirichlet(np.ones(4)), rng.dirichlet(np.ones(4), 4), rng.dirichlet(np.ones(9), 4).T
+    texts = [rng.integers(0, 9, n).astype("<u2") for n in (1, 700, 3, 256, 257, 12)]
+    ends = np.cumsum([0, *map(len, texts)])
+    together = language_model.log_likelihood(np.concatenate(texts), ends, start, move, emit)
+    alone = [language_model.log_likelihood(x, np.array([0, len(x)]), start, move, emit)[0] for x in texts]
+    assert np.allclose(together, alone)
+    column = language_model._binary(np.concatenate(texts), 2 * ends).slice(1, 4)
+    flat, offsets = language_model._flat(column)
+    assert [len(x) for x in texts[1:5]] == np.diff(offsets).tolist() and (flat == np.concatenate(texts[1:5])).all()
+
+
 def test_language_model_odd_and_empty_tables(spark, odd, none, folder, tmp_path):
     rows = language_model.op7_language_model(spark, folder(documents=odd)).collect()
     assert len(rows) == odd.count() and all(math.isfinite(r.score) and r.n_tokens >= 1 for r in rows)
@@ -229,19 +255,77 @@ def test_language_model_odd_and_empty_tables(spark, odd, none, folder, tmp_path)
     assert language_model.op7_language_model(spark, f"{tmp_path}/e").count() == 0
 
 
-STEMS = {"idiot": 5.0, "réeux": 3.0}
-
-
-def slots(text):
-    return toxicity.clause_slots(text, {}, STEMS, toxicity._closed_words())
+def readings(text, stems=("idiot", "réeux")):
+    return [hit for clause in toxicity.Matcher(set(stems)).hits(text) for hit in clause]
 
 
 def test_grammar_tells_targets_negations_and_reports_apart():
-    plain, target, negated, reported = slots("an idiot walks"), slots("you are an idiot"), slots("that is not an idiot"), slots("it says idiot")
-    assert plain[0] == 5 and target[1] == 5 and negated[2] == 5 and reported[4] == 5
-    assert slots("you said. an idiot")[0] == 5  # the clause ends at the full stop
-    assert slots("i will kill you")[8 + 1] == 1
-    assert slots("idiots! réeuxment")[0] == 8 and slots("nothing here")[:17] == [0.0] * 17 and slots("")[17] == 0
+    insult, threat = toxicity.INSULT, toxicity.THREAT
+    assert readings("an idiot walks") == [("idiot", (insult, False, False, False))]
+    assert readings("you are an idiot") == readings("idiot, that is you") == [("idiot", (insult, False, False, True))]
+    assert readings("that is not an idiot") == [("idiot", (insult, True, False, False))]
+    assert readings("not at all words later an idiot") == [("idiot", (insult, False, False, False))]  # out of reach
+    assert readings("it says idiot") == [("idiot", (insult, False, True, False))]
+    assert readings("you said. an idiot") == [("idiot", (insult, False, False, False))]  # the clause ends at the full stop
+    assert readings("i will kill you") == [("kill", (threat, False, False, True))]
+    assert [e for e, _ in readings("idiots! réeuxment")] == ["idiot", "réeux"] and readings("nothing here") == readings("") == []
+    assert len(readings("idiot " * 5000)) == 5000  # one clause of any length
+
+
+def test_composed_paths_are_those_of_the_cascade():
+    """Every path of the composed machine, found by trying all arcs, and the sums that the reader gives."""
+    from itertools import product
+
+    from textmill.llm.transducers import Reader, paths
+
+    weights = {r: 0.1 + 0.07 * k for k, r in enumerate(toxicity.READINGS)}
+    machine = toxicity.grammar(weights)
+    reader = Reader(machine)
+    parts = (toxicity.negations(), toxicity.reports(), toxicity.targets(), toxicity.choice(weights))
+    classes = (toxicity.PLAIN, toxicity.TARGET, toxicity.NEGATION, toxicity.REPORT, toxicity.THREAT, toxicity.INSULT)
+    for n in range(5):
+        for labels in product(classes, repeat=n):
+            if n == 4 and hash(labels) % 5:
+                continue
+            cascade = [(labels, 1.0)]
+            for part in parts:
+                cascade = [(out, w * v) for read, w in cascade for out, v in paths(part, read)]
+            whole = list(paths(machine, labels))
+            assert sorted(map(repr, cascade)) == sorted(map(repr, whole))
+            assert abs(reader.total(labels) - sum(w for _, w in whole)) < 1e-12
+            assert len(whole) == sum(x >= toxicity.THREAT for x in labels)  # a path for each hit
+            written = reader.written(labels, range(n))
+            for k in range(n):
+                assert abs(sum(written[k].values()) - sum(w for _, w in whole)) < 1e-12
+                for out, got in written[k].items():
+                    assert abs(got - sum(w for o, w in whole if o[k] == out)) < 1e-12
+
+
+def test_a_text_weighs_what_its_paths_weigh(spark):
+    from textmill.llm.transducers import paths
+
+    words = {"idiot": 0.4, "kill": 0.2, "scum": 0.3}
+    weights = [0.1 + 0.05 * k for k in range(len(toxicity.READINGS))]
+    machine, matcher = toxicity.grammar(dict(zip(toxicity.READINGS, weights))), toxicity.Matcher({"idiot", "scum"})
+    texts = ["you idiot. she said kill", "not scum idiot you; kill kill them", "fine", "", None]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id long, text string, score string")
+    got = {r.doc_id: r for r in toxicity.score(docs, words, weights, 0.01).collect()}
+    for k, text in enumerate(texts):
+        total = 0.01
+        for clause in toxicity.re.split("[.;]", text or ""):
+            classes = [matcher.class_of(w) for w in clause.split()]
+            for written, weight in paths(machine, [c for c, _ in classes]):
+                place = next(j for j, out in enumerate(written) if out is not None)
+                total += weight * words[classes[place][1]]
+        assert abs(got[k].score - (1 - math.exp(-total))) < 1e-12
+
+
+def test_weights_follow_the_labels():
+    rng = np.random.default_rng(5)
+    reading = rng.integers(0, 2, 4000) * 4  # plain or negated insults, one a text
+    toxic = rng.random(4000) < np.where(reading == 0, 0.9, 0.1)
+    words, readings_, rest = toxicity.fit_weights(np.arange(4000), np.zeros(4000, dtype=int), reading, np.ones(4000), toxic, 1)
+    assert abs(1 - math.exp(-rest - words[0] * readings_[0]) - 0.9) < 0.03 and abs(1 - math.exp(-rest - words[0] * readings_[4]) - 0.1) < 0.03
 
 
 def test_stems_are_the_shortest_that_say_it():

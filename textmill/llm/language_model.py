@@ -15,6 +15,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 from math import log10
 
 import numpy as np
@@ -22,21 +23,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import bounded, stash, table
+from .common import bounded, discard, stash, table
 
 STATES = 16
-#: Most words with a symbol of their own, and most words whose counts the tasks hold.
+#: Most words with a symbol of their own (a symbol takes two bytes), and most words whose counts the tasks hold.
 HEAD, HELD = 32_768, 262_144
 CLASSES = 129
-#: Baum-Welch passes over all training texts, after WARM_PASSES over about WARM_TEXTS of
-#: them (the first WARM_TOKENS of each) that only choose the starting point.
-PASSES, WARM_PASSES, WARM_TEXTS, WARM_TOKENS = 3, 25, 1_500, 1_000
+#: Baum-Welch passes, each over every training text.
+PASSES = 4
 #: Training sequences: longer texts are cut; scoring never cuts.
-SEGMENT = 512
-#: Tokens that a task works on at a time, and words that it counts before it passes them on.
-BATCH_TOKENS, BATCH_WORDS = 500_000, 400_000
-#: Tokens that scoring gathers before it sorts texts by length.
-SCORE_TOKENS = 4_000_000
+SEGMENT = 256
+#: Tokens that a task encodes or trains on at a time, those that scoring gathers before it sorts
+#: texts by length, and words that a task counts before it passes them on.
+BATCH_TOKENS, SCORE_TOKENS, BATCH_WORDS = 250_000, 1_000_000, 300_000
 #: Pseudo-counts of the corpus-wide symbol shares in every state, and of every transition.
 PRIOR, TRANSITION_PRIOR = 50.0, 0.5
 
@@ -81,14 +80,16 @@ def _class_column(word: Column) -> Column:
 class Vocabulary:
     """Training counts: of all tokens, kinds and texts; of the held words; of the classes.
 
-    ``symbols`` maps a held word to its symbol: one of its own, or its class's.
+    ``place`` gives a held word's row in ``counts`` and ``symbols``: a symbol of its own or
+    its class's. ``share`` are the corpus-wide shares of the symbols.
     """
 
     tokens: int
     kinds: int
     texts: int
-    counts: dict[bytes, int]
-    own: dict[bytes, int]
+    place: dict[bytes, int]
+    counts: np.ndarray
+    symbols: np.ndarray
     class_norm: np.ndarray
     share: np.ndarray
 
@@ -104,7 +105,8 @@ def gather(counts: DataFrame, texts: int) -> Vocabulary:
     """Vocabulary of the stored counts (word, c).
 
     The thresholds come from the histogram of counts, so no task ranks words; every word
-    above a threshold is taken and there are at most HELD of them.
+    above a threshold is taken and there are at most HELD of them. Ties at a threshold
+    are all taken or all left, so the order of rows does not matter.
     """
     top = 100_000
     histogram = counts.groupBy(F.least("c", F.lit(top)).alias("c")).agg(F.count(F.lit(1)).alias("kinds"), F.sum("c").alias("tokens"))
@@ -118,71 +120,86 @@ def gather(counts: DataFrame, texts: int) -> Vocabulary:
             if total > most:
                 break
             least[most] = c
-    held = counts.where(F.col("c") >= least[HELD]).toArrow()
-    words = [w.encode() for w in held.column(0).to_pylist()]
-    by_word = dict(zip(words, held.column(1).to_pylist()))
-    own = {w: CLASSES + 1 + k for k, w in enumerate(sorted(w for w, c in by_word.items() if c >= least[HEAD]))}
+    held = counts.where(F.col("c") >= least[HELD]).toArrow().sort_by("word")
+    words, by_row = [w.encode() for w in held.column(0).to_pylist()], held.column(1).to_numpy().astype(np.int64)
+    own = by_row >= least[HEAD]
+    symbols = np.array([_class_of(w) for w in words], dtype=np.uint16)
+    symbols[own] = CLASSES + 1 + np.arange(own.sum())
     classes = counts.where(F.col("c") < least[HEAD]).groupBy(_class_column(F.col("word")).alias("k")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v"))
     class_tokens, class_kinds = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in classes.collect():
         class_tokens[r.k], class_kinds[r.k] = r.n, r.v
-    share = np.concatenate([class_tokens + 1.0, [texts + 1.0], np.zeros(len(own))])
-    for w, k in own.items():
-        share[k] = by_word[w]
-    return Vocabulary(tokens, kinds, texts, by_word, own, np.log10(class_tokens + class_kinds + 1), share / share.sum())
+    share = np.concatenate([class_tokens + 1.0, [texts + 1.0], by_row[own]])
+    return Vocabulary(tokens, kinds, texts, {w: k for k, w in enumerate(words)}, by_row, symbols, np.log10(class_tokens + class_kinds + 1), share / share.sum())
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``docs`` (row, doc_id, held_out, text) as symbols, and what the counts say of them.
 
-    ids: symbols, the end last. base: sum of log10(c + 1) of the held words and the end.
-    share: sum of the classes' words' log10 shares, but for the counts of words not held;
-    those are in rare, with repeats. n_known: tokens with a count among the held.
+    ids: symbols of two bytes, the end last. base: sum of log10(c + 1) of the held words and
+    the end. share: sum of the classes' words' log10 shares, but for the counts of words not
+    held; those are in rare, with repeats. n_known: tokens with a count among the held.
     """
     v = vocabulary
-    shared = docs.sparkSession.sparkContext.broadcast((v.counts, v.own, v.class_norm, v.texts))
+    shared = docs.sparkSession.sparkContext.broadcast((v.place, v.counts, v.symbols, v.class_norm, v.texts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, own, class_norm, texts = shared.value
-        norms = class_norm.tolist()
-        # Of a held word: symbol, log10(c + 1), its part of the share.
-        facts = {}
-        for w, c in counts.items():
-            k = own.get(w)
-            gain = log10(c + 1)
-            facts[w] = (k, gain, 0.0) if k is not None else (_class_of(w), gain, gain - norms[_class_of(w)])
-        for batch in batches:
-            ids, base, share, known, rare, sizes = [], [], [], [], [], []
-            for text in batch.column(3):
-                words = text_words(text.as_py())
-                got = [facts.get(w) for w in words]
-                far = [w for w, f in zip(words, got) if f is None]
-                near = [f for f in got if f is not None] if far else got
-                symbols = [_class_of(w) if f is None else f[0] for w, f in zip(words, got)] if far else [f[0] for f in got]
-                symbols.append(CLASSES)
-                ids.append(np.array(symbols, dtype=np.int32))
-                base.append(sum([f[1] for f in near]) + log10(texts + 1))
-                share.append(sum([f[2] for f in near]) - sum([norms[_class_of(w)] for w in far]))
-                known.append(len(near) + (texts > 0))
-                sizes.append(len(symbols))
-                rare.append(far)
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in rare])]).astype(np.int32)
-            flat = pa.array([w for x in rare for w in x], pa.binary()).cast(pa.string())
-            starts = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            symbols = pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays(
+        places, counts, symbols_of, class_norm, texts = shared.value
+        # Of each held word and, last, of any other: log10(c + 1) and its part of the share.
+        base_of = np.append(np.log10(counts + 1.0), 0.0)
+        share_of = np.append(np.where(symbols_of > CLASSES, 0.0, base_of[:-1] - class_norm[np.minimum(symbols_of, CLASSES - 1)]), 0.0)
+        place, unseen = places.get, len(symbols_of)
+
+        def settle(batch: pa.RecordBatch, words: list[bytes], sizes: list[int]) -> pa.RecordBatch:
+            size = np.array(sizes, dtype=np.int64)
+            at = np.fromiter(map(place, words, repeat(unseen)), dtype=np.int64, count=len(words))
+            text = np.repeat(np.arange(len(size)), size)
+            far = np.flatnonzero(at == unseen)
+            symbols = np.append(symbols_of, 0)[at].astype(np.uint16)
+            symbols[far] = [_class_of(words[k]) for k in far]
+            far_share = -class_norm[symbols[far]] if len(far) else np.zeros(0)
+            per_text = [np.bincount(text, weights=w, minlength=len(size)).astype(float) for w in (base_of[at], share_of[at], at < unseen)]
+            per_text[1] += np.bincount(text[far], weights=far_share, minlength=len(size))
+            out = np.full(len(words) + len(size), CLASSES, dtype="<u2")
+            out[np.arange(len(words)) + text] = symbols
+            ends = np.concatenate([[0], np.cumsum(size + 1)])
+            rare = np.concatenate([[0], np.cumsum(np.bincount(text[far], minlength=len(size)))])
+            return pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), batch.column(1), batch.column(2), pa.ListArray.from_arrays(pa.array(starts), symbols),
-                    pa.array(base, pa.float64()), pa.array(share, pa.float64()), pa.array(known, pa.int64()),
-                    pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), flat),
+                    batch.column(0), batch.column(1), batch.column(2), _binary(out, 2 * ends),
+                    pa.array(per_text[0] + log10(texts + 1)), pa.array(per_text[1]), pa.array(per_text[2].astype(np.int64) + (texts > 0)), pa.array(size + 1),
+                    pa.ListArray.from_arrays(pa.array(rare.astype(np.int32)), pa.array([words[k] for k in far], pa.binary()).cast(pa.string())),
                 ],
                 names=["row", "doc_id", "held_out", "ids", "base", "share", "n_known", "n_tokens", "rare"],
             )
 
-    schema = "row long, doc_id long, held_out boolean, ids array<int>, base double, share double, n_known long, n_tokens long, rare array<string>"
+        for batch in batches:
+            words, sizes, begin = [], [], 0
+            for k, text in enumerate(batch.column(3)):
+                got = text_words(text.as_py())
+                words += got
+                sizes.append(len(got))
+                if len(words) > BATCH_TOKENS or k == batch.num_rows - 1:
+                    yield settle(batch.slice(begin, k + 1 - begin), words, sizes)
+                    words, sizes, begin = [], [], k + 1
+
+    schema = "row long, doc_id long, held_out boolean, ids binary, base double, share double, n_known long, n_tokens long, rare array<string>"
     return bounded(docs.select("row", "doc_id", "held_out", "text")).mapInArrow(run, schema)
 
 
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(values)])
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All symbols of a binary column without nulls, and where each row's begin."""
+    width = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(column.buffers()[1], dtype=width, count=len(column) + 1, offset=column.offset * np.dtype(width).itemsize).astype(np.int64)
+    data = column.buffers()[2]
+    flat = np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]].view("<u2") if data is not None and ends[-1] > ends[0] else np.zeros(0, "<u2")
+    return flat, (ends - ends[0]) // 2
+
+
 def segments(flat: np.ndarray, offsets: np.ndarray, longest: int | None) -> tuple[np.ndarray, np.ndarray]:
     """Starts and lengths of the sequences of ``flat``, cut to ``longest`` if given."""
     lengths = np.diff(offsets)
@@ -235,6 +252,7 @@ def expected_counts(
     """Baum-Welch's expected counts of starts, moves and emissions, and the log10 likelihood.
 
     A cut text's later segments start from the state distribution that moves settle in.
+    Memory is that of one state vector for each of BATCH_TOKENS tokens.
     """
     states = len(start)
     starts, lengths = segments(flat, offsets, SEGMENT)
@@ -242,40 +260,40 @@ def expected_counts(
     rest = np.full(states, 1.0 / states)
     for _ in range(50):
         rest = rest @ move
-    move32, emit32 = move.astype(np.float32), emit.astype(np.float32)
+    move32, emit32, back_move = move.astype(np.float32), emit.astype(np.float32), np.ascontiguousarray(move.T.astype(np.float32))
     begins, moves, emits, likelihood = np.zeros(states), np.zeros((states, states)), np.zeros(emit.shape), 0.0
     for chosen in _batches(lengths):
         begin, size = starts[chosen], lengths[chosen]
         steps = int(size[0])
         running = len(chosen) - np.searchsorted(size[::-1], np.arange(1, steps + 1), side="left")
-        forward, scales, seen = [], [], []
-        state = None
+        ends = np.cumsum(running)
+        # Step by step, of the sequences still running: symbol, state given the past, its scale.
+        symbols = np.empty(ends[-1], dtype=np.int64)
+        states_at = np.empty((ends[-1], states), dtype=np.float32)
+        scales = np.empty((ends[-1], 1), dtype=np.float32)
+        state = np.where(first[chosen][:, None], start, rest).astype(np.float32)
         for t in range(steps):
-            n = running[t]
-            out = emit32[flat[begin[:n] + t]]
-            prior = state[:n] @ move32 if t else np.where(first[chosen][:, None], start, rest).astype(np.float32)
-            state = prior * out
-            scale = state.sum(axis=1, keepdims=True)
-            state /= scale
-            forward.append(state)
-            scales.append(scale)
-            seen.append(out)
-            likelihood += float(np.log10(scale, dtype=np.float64).sum())
-        back = np.ones_like(forward[-1])
+            n, at = running[t], slice(ends[t] - running[t], ends[t])
+            symbols[at] = flat[begin[:n] + t]
+            state = (state[:n] @ move32 if t else state) * emit32[symbols[at]]
+            scales[at] = state.sum(axis=1, keepdims=True)
+            state /= scales[at]
+            states_at[at] = state
+        likelihood += float(np.log10(scales, dtype=np.float64).sum())
+        back = np.ones((running[-1], states), dtype=np.float32)
         for t in range(steps - 1, -1, -1):
-            n = running[t]
+            n, at = running[t], slice(ends[t] - running[t], ends[t])
             if len(back) < n:  # sequences that end here
                 back = np.concatenate([back, np.ones((n - len(back), states), dtype=np.float32)])
-            later = seen[t] * back / scales[t]
+            later = emit32[symbols[at]] * back / scales[at]
             if t:
-                moves += move * (forward[t - 1][:n].T @ later)
-            forward[t] = forward[t] * back  # from here on: the posterior
-            back = later @ move32.T
-        begins += forward[0][first[chosen]].sum(axis=0)
-        posterior = np.concatenate(forward)
-        symbols = np.concatenate([flat[begin[: running[t]] + t] for t in range(steps)])
+                begun = ends[t - 1] - running[t - 1]
+                moves += move * (states_at[begun : begun + n].T @ later)
+            states_at[at] *= back  # from here on: the posterior
+            back = later @ back_move
+        begins += states_at[: running[0]][first[chosen]].sum(axis=0)
         for s in range(states):
-            emits[:, s] += np.bincount(symbols, weights=posterior[:, s], minlength=len(emit))
+            emits[:, s] += np.bincount(symbols, weights=states_at[:, s], minlength=len(emit))
     return begins, moves, emits, likelihood
 
 
@@ -287,25 +305,12 @@ def estimate(begins: np.ndarray, moves: np.ndarray, emits: np.ndarray, share: np
     return start, moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0, keepdims=True)
 
 
-def _flat(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    offsets = array.offsets.to_numpy().astype(np.int64)
-    return array.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
-def warm_start(train: DataFrame, texts: int, share: np.ndarray, states: int = STATES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starting parameters: Baum-Welch on a bounded share of the texts, from noisy corpus shares."""
-    step = max(1, texts // WARM_TEXTS)
-    sample = train.where(F.pmod(F.xxhash64("row"), F.lit(step)) == 0).select(F.slice("ids", 1, WARM_TOKENS).alias("ids")).limit(2 * WARM_TEXTS)
-    flat, offsets = _flat(sample.toArrow().column(0)) if texts else (np.zeros(0, np.int32), np.zeros(1, np.int64))
+def starting_point(share: np.ndarray, states: int = STATES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Parameters to begin with: sticky states that emit the corpus-wide shares times fixed noise."""
     noise = np.random.default_rng(7)
-    start = np.full(states, 1.0 / states)
     move = np.full((states, states), 0.1 / states) + 0.9 * np.eye(states)
     emit = share[:, None] * noise.gamma(1.0, size=(len(share), states))
-    emit /= emit.sum(axis=0)
-    for _ in range(WARM_PASSES if len(flat) else 0):
-        start, move, emit = estimate(*expected_counts(flat, offsets, start, move, emit)[:3], share)
-    return start, move, emit
+    return np.full(states, 1.0 / states), move, emit / emit.sum(axis=0)
 
 
 def baum_welch(train: DataFrame, start: np.ndarray, move: np.ndarray, emit: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -367,7 +372,11 @@ def score_documents(docs: DataFrame, held: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``.
 
     Rows where ``held`` is true are scored but not learned from. A null text is empty: its
-    one token is the end. Rows may repeat. An empty table gives no rows.
+    one token is the end. Rows may repeat; each is learned from and scored on its own.
+    Texts of any length are scored whole, their memory being that of their symbols. Extra
+    columns are left out. Words with equal counts are treated alike, and the result does not
+    depend on how the rows lie in files (but for the last digits of sums). An empty table
+    gives no rows.
     """
     chosen = docs.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
@@ -375,11 +384,10 @@ def score_documents(docs: DataFrame, held: Column) -> DataFrame:
     )
     train = chosen.where("NOT held_out")
     counts = stash(word_counts(train), "lm-counts")
-    texts = train.count()
-    vocabulary = gather(counts, texts)
+    vocabulary = gather(counts, train.count())
     encoded = stash(encode(chosen, vocabulary), "lm-encoded")
     learned = encoded.where("NOT held_out")
-    start, move, emit = warm_start(learned, texts, vocabulary.share)
+    start, move, emit = starting_point(vocabulary.share)
     for _ in range(PASSES):
         start, move, emit = baum_welch(learned, start, move, emit, vocabulary.share)
     shared = docs.sparkSession.sparkContext.broadcast((start, move, emit))
@@ -387,17 +395,23 @@ def score_documents(docs: DataFrame, held: Column) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Sequences of several batches go through together: a batch takes as many steps as its longest one.
         held: list[pa.RecordBatch] = []
+        tokens = 0
 
         def settle() -> pa.RecordBatch:
-            batch = pa.concat_batches(held)
-            got = log_likelihood(*_flat(batch.column(1)), *shared.value)
-            return pa.RecordBatch.from_arrays([batch.column(0), pa.array(got), *batch.columns[2:]], names=["row", "hmm", *batch.schema.names[2:]])
+            parts = [_flat(b.column(1)) for b in held]
+            sizes = np.concatenate([np.diff(offsets) for _, offsets in parts])
+            got = log_likelihood(np.concatenate([flat for flat, _ in parts]), np.concatenate([[0], np.cumsum(sizes)]), *shared.value)
+            rows = pa.Table.from_batches(held).drop_columns("ids").combine_chunks().to_batches()[0]
+            return pa.RecordBatch.from_arrays([rows.column(0), pa.array(got), *rows.columns[1:]], names=["row", "hmm", *rows.schema.names[1:]])
 
         for batch in batches:
-            held.append(batch)
-            if sum(len(b.column(1).flatten()) for b in held) > SCORE_TOKENS:
+            if batch.num_rows:
+                held.append(batch)
+                tokens += len(_flat(batch.column(1))[0])
+            if tokens > SCORE_TOKENS:
                 yield settle()
                 held.clear()
+                tokens = 0
         if held:
             yield settle()
 
@@ -406,15 +420,20 @@ def score_documents(docs: DataFrame, held: Column) -> DataFrame:
     rare = rare_counts(encoded, counts)
     joined = scored.join(rare, scored.row == rare.rare_row, "left")
     extra = F.coalesce("rare_base", F.lit(0.0))
-    return joined.select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + extra - F.col("n_tokens") * vocabulary.norm()).alias("base_score"),
-        (F.col("hmm") + F.col("share") + extra).alias("score"),
+    out = stash(
+        joined.select(
+            "doc_id",
+            "held_out",
+            "n_tokens",
+            (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
+            F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
+            (F.col("base") + extra - F.col("n_tokens") * vocabulary.norm()).alias("base_score"),
+            (F.col("hmm") + F.col("share") + extra).alias("score"),
+        ),
+        "lm-scores",
     )
+    discard(counts, encoded)
+    return out
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
