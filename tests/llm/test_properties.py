@@ -54,7 +54,8 @@ def test_any_markup_parses(source):
     page = html_text.parse(source)
     assert len(page.lines) == len(page.marks) == len(page.links)
     assert all(line and line == " ".join(line.split()) for line in page.lines)
-    html_text.main_text(page, [html_text.parse(source[::-1])])
+    assert len(page.parts) == len(page.lines)
+    html_text.main_text(page, html_text.parse(source[::-1]))
 
 
 @settings(max_examples=100, deadline=None)

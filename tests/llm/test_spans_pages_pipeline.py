@@ -189,17 +189,66 @@ def test_differencing_deletes_what_neighbours_share_and_markup_what_it_marks():
         (3, "http://h/b/1", page("<p>Gamma</p><script>var x='<p>no</p>';</script><!-- c -->")),
         (4, "http://other/", page("<p>Alone</p>")),
     ]
-    got = {i: text for i, _, text in html_text.difference(iter(rows))}
+    got = {i: text for i, _, text, _ in html_text.difference((0, True, *r) for r in rows)}
     assert got[1] == "One Alpha bold text a & b <c> d e" and got[2] == "Beta text" and got[3] == "Gamma"
     assert got[4] == "Shared line of the site Alone Imprint"  # no neighbour on its host
 
 
 def test_article_lines_stay_though_shared_unless_they_are_links():
     page = lambda x: f"<nav>n</nav><article><h1>{x}</h1><p>Everyone quotes this.</p><p><a href=/s>Share</a></p></article><p>out</p><footer>f</footer>"
-    got = [t for _, _, t in html_text.difference(iter([(1, "http://h/1", page("A")), (2, "http://h/2", page("B"))]))]
+    got = [t for _, _, t, _ in html_text.difference(iter([(0, True, 1, "http://h/1", page("A")), (0, True, 2, "http://h/2", page("B"))]))]
     assert got == ["A Everyone quotes this.", "B Everyone quotes this."]
 
 
+def site(n, hosts=("a", "b")):
+    """Pages without any telling markup: frames that a host's pages share, an article of their own, and copies."""
+    rows, want = [], {}
+    for host in hosts:
+        menu = "".join(f"<div><p>{host} section {k}</p></div>" for k in range(10))
+        box = f"<div><p>Follow {host}</p><p>Get the letter of {host}</p></div>"
+        for k in range(n):
+            own = [f"{host} story {k // 3 if k % 6 < 3 else k} part {j}: " + f"word{k * 7 % 5} " * 30 for j in range(2)]
+            quote = "Everyone quotes this sentence."
+            body = f"<article><p>{own[0]}</p><p>{quote}</p>{box}<p>{own[1]}</p></article>" if k % 2 else f"<div><p>{own[0]}</p><p>{own[1]}</p></div>{box}"
+            page_id = len(rows)
+            rows.append((page_id, f"https://{host}.example/{k // 10}/{k:04d}", f"<html><body>{menu}{body}<div>{host} imprint</div></body></html>"))
+            want[page_id] = " ".join(" ".join([own[0], quote, own[1]] if k % 2 else own).split())
+    return rows, want
+
+
+@pytest.mark.parametrize("ranges", [1, 3, 7])
+def test_frames_go_without_markup_whatever_the_ranges_are(spark, ranges):
+    rows, want = site(40)
+    # Extra columns named like those that the operator adds.
+    docs = spark.createDataFrame([(*r, "h", "p", 1, 2, True) for r in rows], "page_id long, url string, html string, host string, path string, at int, span int, inside boolean")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(ranges))
+    try:
+        got = {r.page_id: r for r in html_text.extract(docs.repartition(5)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {k: r.text for k, r in got.items()} == want
+    # Markup alone leaves the frames of the pages without an article, and the box inside one.
+    alone = {r[0]: html_text.main_text(html_text.parse(r[2]), None)[0] for r in rows}
+    assert all(alone[k] != want[k] and got[k].shared_lines > 10 for k in want)
+
+
+def test_a_family_of_copies_looks_beyond_itself():
+    page = lambda k, words: f"<div>Site menu</div><div>{''.join(f'<p>{x} {words}</p>' for x in 'abcdef')}<p>number {k}</p></div><div>Imprint</div>"
+    rows = [(k, f"http://h/{k:03d}", page(k, "the same long text")) for k in range(50)] + [(99, "http://h/zz", page(99, "another text"))]
+    got = {i: text for i, _, text, _ in html_text.difference((0, True, *r) for r in rows)}
+    same = " ".join(f"{x} the same long text" for x in "abcdef")
+    assert all(got[k] == f"{same} number {k}" for k in range(50)) and got[99].startswith("a another text")
+
+
+def test_a_very_long_page_is_read_whole():
+    lines = [f"line {k} of the long page" for k in range(20_000)]
+    page = lambda own: "<div>Menu of the site</div><div>" + "".join(f"<p>{x}</p>" for x in own) + "</div>"
+    rows = [(0, True, 1, "http://h/1", page(lines)), (0, True, 2, "http://h/2", page(["short"]))]
+    got = {i: text for i, _, text, _ in html_text.difference(iter(rows))}
+    assert got[1] == " ".join(lines) and got[2] == "short"
+
+
 @pytest.mark.parametrize(
     "source, lines",
     [
