@@ -7,9 +7,13 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders of stashed tables, in the order they were written.
+_written: list[str] = []
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share.
@@ -37,6 +41,7 @@ def stash(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/textmill-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     _file_system(spark, folder).deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)
@@ -54,3 +59,15 @@ def discard(*tables: DataFrame) -> None:
             path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f).getParent()
             if path.getName().startswith("textmill-"):
                 _file_system(spark, path).delete(path, True)
+                _written[:] = [p for p in _written if not p.endswith(f"/{path.getName()}")]
+
+
+def settle(make: Callable[[], DataFrame], spark: SparkSession, label: str) -> DataFrame:
+    """Stash what ``make`` gives and delete the tables that it stashed on its way."""
+    before = len(_written)
+    out = stash(make(), label)
+    for path in _written[before:-1]:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        _file_system(spark, folder).delete(folder, True)
+    del _written[before:-1]
+    return out
