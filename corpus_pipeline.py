@@ -12,13 +12,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textmill.llm import decontamination, packing, pii, quality, simhash
-from textmill.llm.common import stash, table
+from textmill.llm.common import discard, free_names, stash, table
+from textmill.sources.shared import settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the hard limits and their language's certified cutoff."""
+    """Documents that pass the hard limits and their language's certified cutoff.
+
+    Null, empty and wordless texts go. Repeated rows are judged alike. Extra columns of any
+    name stay; an empty table gives no rows (as in every stage).
+    """
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
@@ -26,38 +31,54 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of every group of near copies: the one with the least doc_id.
 
     Rows that share the id are told apart by a row number, so exactly one row stays. Groups
-    whose ids are all null keep one row too.
+    whose ids are all null keep one row too. Null, empty and wordless texts are one group.
+    Texts of any length are hashed whole; extra columns of any name stay.
     """
-    numbered = stash(docs.withColumn("__row", F.monotonically_increasing_id()), "dedup-docs")
-    groups = simhash.near_duplicates(numbered.select(F.col("__row").alias("doc_id"), "text")).withColumnsRenamed({"doc_id": "__id", "component_id": "__group"})
-    ids = numbered.select(F.col("__row").alias("__doc_row"), F.col("doc_id").alias("__doc_id"))
-    placed = groups.join(ids, groups["__id"] == ids["__doc_row"])
+    row, keep = free_names(docs.columns, "row", "keep")
+    numbered = stash(docs.withColumn(row, F.monotonically_increasing_id()), "dedup-docs")
+    found = simhash.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"))
+    groups = found.select(F.col("doc_id").alias("row_id"), F.col("component_id").alias("group"))
+    ids = numbered.select(F.col(row).alias("doc_row"), F.col("doc_id").alias("known_id"))
+    placed = groups.join(ids, F.col("row_id") == F.col("doc_row"))
     # The least (null last, doc_id, row) of each group is a partial aggregate: no group is gathered.
-    first = placed.groupBy("__group").agg(F.min(F.struct(F.col("__doc_id").isNull(), "__doc_id", "__doc_row")).alias("__first"))
-    kept = stash(first.select(F.col("__first.__doc_row").alias("__keep")), "dedup-kept")
+    first = placed.groupBy("group").agg(F.min(F.struct(F.col("known_id").isNull(), "known_id", "doc_row")).alias("first"))
+    kept = stash(first.select(F.col("first.doc_row").alias(keep)), "dedup-kept")
     # What stays grows with the corpus: the join is dealt by row, never broadcast.
-    return numbered.join(kept.hint("merge"), numbered["__row"] == kept["__keep"], "left_semi").select(*docs.columns)
+    return numbered.join(kept.hint("merge"), numbered[row] == kept[keep], "left_semi").select(*docs.columns)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window."""
+    """Documents without any benchmark window.
+
+    Null and empty texts hold none and stay; an empty benchmark drops nothing. Repeated rows
+    stay or go together. Texts are matched whole; extra columns of any name stay.
+    """
     found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return found.where(F.col("__n_hit") == 0).select(*docs.columns)
+    return found.where(F.col(found.columns[-1]).n_hit == 0).select(*docs.columns)
 
 
 def redact_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal spans replaced by their kind; n_chars follows the text."""
-    found = docs.withColumn("__spans", pii.personal_spans(F.col("text")))
-    clean = found.withColumn("text", pii.redact(F.col("text"), F.col("__spans")))
+    """All documents, personal spans replaced by their kind; n_chars follows the text where it changed.
+
+    A null text stays null. Overlapping spans are one stretch. Texts of any length are read
+    whole; repeated rows are redacted alike; extra columns of any name stay.
+    """
+    (spans,) = free_names(docs.columns, "spans")
+    found = docs.withColumn(spans, pii.personal_spans(F.col("text")))
+    clean = found.withColumn("text", pii.redact(F.col("text"), F.col(spans)))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         length = F.length("text").cast(kind)
-        clean = clean.withColumn("n_chars", F.when(F.size("__spans") > 0, length).otherwise(F.col("n_chars")))
+        clean = clean.withColumn("n_chars", F.when(F.size(spans) > 0, length).otherwise(F.col("n_chars")))
     return clean.select(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of at most 4096 tokens."""
+    """Pieces of the documents in sequences of at most 4096 tokens.
+
+    A null or empty text is its end token alone. Repeated rows are packed each on its own;
+    extra columns are left out; an empty table gives no rows.
+    """
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -78,6 +99,8 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = stash(stage(spark, docs, sf_dir), name)
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        given, docs = docs, settle(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), spark, name)
+        if k:
+            discard(given)
     return STAGES[-1][1](spark, docs, sf_dir)
