@@ -27,7 +27,7 @@ covered AS (
   SELECT r, count(DISTINCT p) AS n
   FROM (SELECT r, unnest([i, i+1, i+2]) AS p FROM windows JOIN twice USING (r, k)) GROUP BY r),
 m AS (
-  SELECT d.r, doc_id, stratum, CAST(len(w) AS BIGINT) AS n_words,
+  SELECT d.r, doc_id, stratum, t, CAST(len(w) AS BIGINT) AS n_words,
          CAST(coalesce(list_sum(list_transform(w, lambda x: len(x))), 0) AS BIGINT) AS word_chars,
          CAST(len(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
          CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
@@ -40,9 +40,8 @@ s AS (
   FROM m),
 good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1),
 cuts AS (SELECT * FROM (VALUES {_CUTS}) v(j, cut)),
-tried AS (
-  SELECT stratum, j, cut, count(*) AS n, count(*) FILTER (bad > cut) AS k
-  FROM s JOIN good USING (doc_id), cuts GROUP BY stratum, j, cut),
+holdouts AS (SELECT DISTINCT stratum, t, bad FROM s JOIN good USING (doc_id)),
+tried AS (SELECT stratum, j, cut, count(*) AS n, count(*) FILTER (bad > cut) AS k FROM holdouts, cuts GROUP BY stratum, j, cut),
 tails AS (
   SELECT *, count(DISTINCT stratum) OVER () AS strata,
          CASE WHEN k < n * {RISK} THEN list_sum(list_transform(range(0, k + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({RISK}) + (n - i) * ln(1 - {RISK})))) ELSE 1 END AS p

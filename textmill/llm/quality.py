@@ -7,7 +7,7 @@ the most lenient to the strictest, each is tested with the exact binomial tail f
 hypothesis that more than RISK of the stratum's good texts would be rejected, at level
 ERROR / strata (Bonferroni over the strata, fixed sequence within one). The strictest cutoff
 before the first failure holds; a stratum without any certified cutoff rejects nothing by
-the rules. With probability 1 - ERROR every stratum's false rejection rate is at most RISK.
+the rules. One family is calibrated, the largest quotient; its units are fixed. With probability 1 - ERROR every stratum's false rejection rate is at most RISK.
 
 All of it is column expressions.
 """
@@ -19,7 +19,7 @@ from math import log, pi
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import let, stash, table, words_of
+from .common import free_names, let, stash, table, words_of
 
 RISK, ERROR = 0.02, 0.05
 #: Units of the rules, in the order of the shares that badness() divides by them.
@@ -177,41 +177,60 @@ def good_labels(labels: DataFrame) -> DataFrame:
 
 
 def _cutoffs(measured: DataFrame, labels: DataFrame) -> DataFrame:
-    """Cutoffs from measured documents (doc_id, stratum, m) and labels; one row for each stratum."""
+    """(cut_stratum, cutoff) from measured documents (doc_id, stratum, text_key, m) and labels.
+
+    Equal texts of a stratum are one holdout: the exact bound is for independent draws.
+    """
     good = good_labels(labels)
     holdouts = measured.join(good, measured.doc_id == good.label_id, "left_semi")
-    found = stash(calibrate(holdouts.select("stratum", badness(F.col("m")).alias("bad"))), "quality-cutoffs")
-    return found.select(F.col("stratum").alias("__cut_stratum"), F.col("cutoff").alias("__cut_at"))
+    once = holdouts.select("stratum", "text_key", badness(F.col("m")).alias("bad")).distinct()
+    found = stash(calibrate(once.select("stratum", "bad")), "quality-cutoffs")
+    return found.select(F.col("stratum").alias("cut_stratum"), "cutoff")
+
+
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def judge(measured: DataFrame, labels: DataFrame) -> DataFrame:
-    """``measured`` (doc_id, stratum, m) with base_failed and kept.
+    """``measured`` (doc_id, stratum, text_key, m) with base_failed and kept.
 
-    ``kept`` is false where a hard limit fails or the stratum's cutoff is exceeded.
+    ``kept`` is false where a hard limit fails or the stratum's cutoff is exceeded; a stratum
+    without a certified cutoff (so every one, without labels) rejects by the hard limits
+    alone. Repeated rows are judged alike; an empty table gives no rows.
     """
-    joined = measured.join(_cutoffs(measured, labels), F.col("stratum") == F.col("__cut_stratum"), "left")
+    joined = measured.join(_cutoffs(measured, labels), F.col("stratum") == F.col("cut_stratum"), "left")
     failed = base_failed(F.col("m"))
-    rejected = F.coalesce(badness(F.col("m")) > F.col("__cut_at"), F.lit(False))
-    return joined.withColumn("base_failed", failed).withColumn("kept", ~failed & ~rejected).drop("__cut_stratum", "__cut_at")
+    rejected = F.coalesce(badness(F.col("m")) > F.col("cutoff"), F.lit(False))
+    return joined.withColumn("base_failed", failed).withColumn("kept", ~failed & ~rejected).drop("cut_stratum", "cutoff")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (doc_id, text, lang and any others) that pass, columns unchanged."""
+    """The rows of ``docs`` (doc_id, text, lang and any others) that pass, all columns unchanged.
+
+    A null or empty text has no words and fails. Texts are measured whole, whatever their
+    length. Repeated rows are judged alike and all stay or go; a badness equal to the cutoff
+    stays. A null lang is a stratum of its own; rows with a null doc_id are judged but never
+    labelled. Other columns may have any names. An empty table gives no rows.
+    """
     # Stored once with the counts: the labels meet the counts alone, and no filter that is
     # pushed below the projection counts a text again.
-    counted = stash(docs.withColumn("__m", measures(F.col("text"))), "quality-counted")
-    measured = counted.select(F.col("doc_id").cast("long").alias("doc_id"), stratum_of(F.col("lang")).alias("stratum"), F.col("__m").alias("m"))
-    joined = counted.join(_cutoffs(measured, labels), stratum_of(F.col("lang")) == F.col("__cut_stratum"), "left")
-    m = F.col("__m")
-    passes = ~base_failed(m) & F.coalesce(badness(m) <= F.col("__cut_at"), F.lit(True))
-    return joined.where(passes).select(*[counted[c] for c in docs.columns])
+    counts, cut, at = free_names(docs.columns, "counts", "cut_stratum", "cutoff")
+    counted = stash(docs.withColumn(counts, measures(F.col("text"))), "quality-counted")
+    measured = counted.select(
+        F.col("doc_id").cast("long").alias("doc_id"), stratum_of(F.col("lang")).alias("stratum"), text_key(F.col("text")).alias("text_key"), F.col(counts).alias("m")
+    )
+    cutoffs = _cutoffs(measured, labels).withColumnsRenamed({"cut_stratum": cut, "cutoff": at})
+    joined = counted.join(cutoffs, stratum_of(F.col("lang")) == F.col(cut), "left")
+    passes = ~base_failed(F.col(counts)) & F.coalesce(badness(F.col(counts)) <= F.col(at), F.lit(True))
+    return joined.where(passes).select(*docs.columns)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of all documents."""
     docs = table(spark, sf_dir, "documents")
     measured = stash(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), stratum_of(F.col("lang")).alias("stratum"), measures(F.col("text")).alias("m")),
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), stratum_of(F.col("lang")).alias("stratum"), text_key(F.col("text")).alias("text_key"), measures(F.col("text")).alias("m")),
         "quality-measures",
     )
     got = judge(measured, table(spark, sf_dir, "labels"))
