@@ -9,12 +9,13 @@ long runs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import let, table
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,10 @@ KINDS = (
 )
 BASE = ("email", "ip", "card", "phone")
 CONTEXT, WINDOW, LEAST = 0.3, 40, 0.5
+#: A proposed match has two code points or more, so this many before a match cover its window.
+PIECES = WINDOW // 2
+#: Values that a running result is appended to one by one, and code points that are cut at a time.
+BLOCK, CUT = 64, 4096
 
 
 def digits(text: Column) -> Column:
@@ -68,6 +73,24 @@ def mod97(account: Column) -> Column:
     return rest == 1
 
 
+def running(values: Column, start: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """Of each value what ``step`` makes of ``start`` and the values before it; ``step`` is associative."""
+
+    def short(part: Column, begin: Column) -> Column:
+        state = F.struct(begin.alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+        return F.aggregate(part, state, lambda acc, v: F.struct(step(acc.at, v).alias("at"), F.concat(acc.out, F.array(acc.at)).alias("out")), lambda acc: acc.out)
+
+    def long(parts: Column) -> Column:
+        totals = F.transform(parts, lambda part: F.aggregate(part, start, step))
+        return F.flatten(F.zip_with(parts, short(totals, start), short))
+
+    def of(v: Column) -> Column:
+        blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / BLOCK).cast("int")), lambda b: F.slice(v, b * BLOCK + 1, F.lit(BLOCK)))
+        return F.when(F.size(v) <= BLOCK, short(v, start)).otherwise(let(blocks, long))
+
+    return let(values, of)
+
+
 def _valid(kind: str, match: Column) -> Column:
     if kind == "ip":
         parts = F.split(match, r"\.")
@@ -91,22 +114,23 @@ def _kind_spans(text: Column, order: int, kind: Kind) -> Column:
     schema = "array<struct<start:int,kind_order:int,kind:string,end:int,score:double>>"
     gaps = F.transform(F.split(text, kind.pattern, -1), lambda g: F.struct(F.length(g).alias("gap"), F.right(g, F.lit(WINDOW)).alias("tail")))
     hits = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
-    zipped = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, m: F.struct(g.gap.alias("gap"), g.tail.alias("tail"), m.alias("match")))
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("before"), F.expr("cast(array() as array<struct<start:int,end:int,match:string,near:string>>)").alias("found"))
-    keep = lambda z: _valid(kind.name, z.match)
+    zipped = F.zip_with(F.slice(gaps, 1, F.size(hits)), hits, lambda g, m: F.struct(g.gap.alias("gap"), g.tail.alias("tail"), m.alias("match"), (g.gap + F.length(m)).alias("width")))
+
+    def placed(found: Column) -> Column:
+        ends_before = running(F.transform(found, lambda z: z.width), F.lit(0), lambda a, w: a + w)
+        all_pieces = F.transform(found, lambda z: F.concat(z.tail, z.match))
 
-    def step(acc: Column, z: Column) -> Column:
-        begin = acc.at + z.gap
-        end = begin + F.length(z.match)
-        # The code points before a match run on through the match before it: ``before`` is their tail.
-        near = F.right(F.concat(acc.before, z.tail), F.lit(WINDOW))
-        one = F.array(F.struct(begin.alias("start"), end.alias("end"), z.match.alias("match"), near.alias("near")))
-        return F.struct(end.alias("at"), F.right(F.concat(near, z.match), F.lit(WINDOW)).alias("before"), F.concat(acc.found, one).alias("found"))
+        def one(z: Column, k: Column, before: Column, pieces: Column) -> Column:
+            # The code points before a match run on through the matches before it.
+            near = F.concat(F.array_join(F.slice(pieces, F.greatest(k - PIECES, F.lit(0)) + 1, F.least(k, F.lit(PIECES))), ""), z.tail)
+            return F.struct((before + z.gap).alias("start"), (before + z.width).alias("end"), z.match.alias("match"), F.right(near, F.lit(WINDOW)).alias("near"))
 
-    placed = F.aggregate(zipped, start, step, lambda acc: acc.found)
+        return let(ends_before, lambda before: let(all_pieces, lambda pieces: F.transform(found, lambda z, k: one(z, k, F.get(before, k), pieces))))
+
+    keep = lambda z: _valid(kind.name, z.match)
     score = lambda z: F.lit(kind.base) + (F.when(z.near.rlike(rf"(?i)\b(?:{kind.context})"), CONTEXT).otherwise(0.0) if kind.context else 0.0)
     spans = F.transform(
-        F.filter(placed, keep),
+        F.filter(let(zipped, placed), keep),
         lambda z: F.struct(
             z.start.alias("start"), F.lit(order).alias("kind_order"), F.lit(kind.name).alias("kind"), z.end.alias("end"), F.least(score(z), F.lit(1.0)).cast("double").alias("score")
         ),
@@ -121,9 +145,11 @@ def _kind_spans(text: Column, order: int, kind: Kind) -> Column:
 def personal_spans(text: Column) -> Column:
     """All confirmed spans of a text by start, then kind: array of struct(start, kind_order, kind, end, score).
 
-    Offsets are code points, ends exclusive. A null text has none. Spans of one kind do not
-    overlap; spans of different kinds may. Kinds that the method adds count from a score
-    of LEAST; the four base kinds always count.
+    Offsets are code points, ends exclusive. A null or empty text has none. Spans of one kind
+    do not overlap; spans of different kinds may, and of those that start together the kind
+    listed first comes first. Kinds that the method adds count from a score of LEAST; the four
+    base kinds always count. Texts of any length are read whole. A text's spans do not
+    depend on other rows, so repeated rows have the same.
     """
     text = F.coalesce(text, F.lit(""))
     empty = F.expr("cast(array() as array<struct<start:int,kind_order:int,kind:string,end:int,score:double>>)")
@@ -131,22 +157,51 @@ def personal_spans(text: Column) -> Column:
 
 
 def find_personal_data(docs: DataFrame, out: str = "pii") -> DataFrame:
-    """``docs`` (with a column text) and its personal spans in the column ``out``."""
+    """``docs`` (with a column text) and its personal spans in the column ``out``, which must be a free name.
+
+    An empty table gives no rows; other columns stay as they are.
+    """
     return docs.withColumn(out, personal_spans(F.col("text")))
 
 
+def stretches(spans: Column) -> Column:
+    """Spans, sorted by start, with those that overlap joined: array of struct(start, end, kind of the first)."""
+    reach = running(F.transform(spans, lambda s: s.end), F.lit(0), lambda a, e: F.greatest(a, e))
+    seen = F.zip_with(spans, reach, lambda s, r: F.struct(s.start.alias("start"), s.kind.alias("kind"), r.alias("reach")))
+
+    def joined(begun: Column, last: Column) -> Column:
+        return F.transform(begun, lambda x, k: F.struct(x.start.alias("start"), F.coalesce(F.get(begun, k + 1).reach, last).alias("end"), x.kind.alias("kind")))
+
+    return let(F.array_max(F.transform(spans, lambda s: s.end)), lambda last: let(F.filter(seen, lambda x: x.start >= x.reach), lambda begun: joined(begun, last)))
+
+
 def redact(text: Column, spans: Column) -> Column:
     """The text with every stretch of personal data replaced by its kind in angle brackets.
 
-    Overlapping spans make one stretch under the name of the first. Null stays null.
+    Overlapping spans make one stretch under the name of the first. Null stays null. The text
+    is cut in blocks of CUT code points; each block looks at the stretches in it alone.
     """
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = F.concat(acc.done, F.substr(text, acc.at + 1, F.greatest(s.start - acc.at, F.lit(0))), F.lit("<"), s.kind, F.lit(">"))
-        return F.struct(F.greatest(acc.at, s.end).alias("at"), F.when(s.start >= acc.at, fresh).otherwise(acc.done).alias("done"))
+    def block(part: Column, number: Column, all_of: Column) -> Column:
+        begin = number * CUT
+        inside = F.transform(
+            F.filter(all_of, lambda s: (s.end > begin) & (s.start < begin + CUT)),
+            lambda s: F.struct((s.start - begin).alias("start"), (s.end - begin).alias("end"), s.kind.alias("kind")),
+        )
+
+        def pieces(found: Column) -> Column:
+            def piece(s: Column, k: Column) -> Column:
+                done = F.coalesce(F.get(found, k - 1).end, F.lit(0))
+                tag = F.when(s.start >= 0, F.concat(F.lit("<"), s.kind, F.lit(">"))).otherwise("")
+                return F.concat(F.substr(part, done + 1, F.greatest(s.start - done, F.lit(0))), tag)
+
+            rest = F.coalesce(F.get(found, F.size(found) - 1).end, F.lit(0))
+            return F.concat(F.array_join(F.transform(found, piece), ""), F.substr(part, rest + 1, F.lit(CUT)))
+
+        return F.when(F.size(inside) > 0, let(inside, pieces)).otherwise(part)
 
-    cut = F.aggregate(spans, start, step, lambda acc: F.concat(acc.done, F.substr(text, acc.at + 1, F.length(text))))
+    parts = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))
+    cut = let(stretches(spans), lambda found: F.array_join(F.transform(parts, lambda p, k: block(p, k, found)), ""))
     return F.when(F.size(spans) > 0, cut).otherwise(text)
 
 
