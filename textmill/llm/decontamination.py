@@ -1,12 +1,13 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-The index holds (term, document, position) postings of the corpus. Of every benchmark
-window the rarest term is its anchor; only anchors' postings are stored. A posting moved
-back by the anchor's offset proposes where the window starts; the lists of the terms next
-to the anchor (read in the text) are compared at once, and the survivors are checked
-against the whole window, which gives exact phrases. For proximity a window has as many
-anchors as words may be missing and one more, so a stretch of text that holds the rest of
-the window holds an anchor. Everything is column expressions and joins.
+The index holds (term, text, position) postings of the corpus. Of every benchmark window the
+LISTS rarest terms are looked up, so only their postings are stored. A posting moved back by
+its term's place in the item gives the place where the item would begin; the lists of one
+item are intersected there, and a window is a candidate where all its lists meet. The few
+candidates are compared with the window word by word, which gives exact phrases. For
+proximity a window has as many anchors as words may be missing and one more, so a stretch of
+text that holds the rest of the window holds an anchor. Everything is column expressions and
+joins; copies of a text are one text from the first group on.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, lower_ascii, split_words, stash, table
+from .common import discard, free_names, lower_ascii, split_words, stash, table
 
 WINDOW = 10
+#: Postings lists that are intersected for each window: those of its rarest terms.
+LISTS = 3
 #: A proximity match: all words of a window but MISSING at most, within EXTRA words more than it has.
 #: Of a short window at most a quarter of the words may be missing.
 MISSING, EXTRA = 1, 2
@@ -27,6 +30,8 @@ BROADCAST_ROWS = 500_000
 #: The texts with hits are broadcast only up to this many spans and items; beyond, the join is dealt out.
 BROADCAST_HITS = 200_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: A word before A-Z are lower-cased.
+ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def match_words(text: Column) -> Column:
@@ -45,9 +50,13 @@ def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     An item of fewer words than ``size``, but not none, is one window. Items may repeat.
     """
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), match_words(F.col("text")).alias("w"))
+    return items.where(F.size("w") > 0).select("item_id", F.explode(_slices(size)).alias("words")).distinct()
+
+
+def _slices(size: int) -> Column:
+    """The windows of the words ``w``, from their first to their last."""
     starts = F.sequence(F.lit(1), F.greatest(F.size("w") - (size - 1), F.lit(1)))
-    spans = items.where(F.size("w") > 0).select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i, size))).alias("words"))
-    return spans.distinct()
+    return F.transform(starts, lambda i: F.slice("w", i, size))
 
 
 def term_postings(words: DataFrame) -> DataFrame:
@@ -55,6 +64,22 @@ def term_postings(words: DataFrame) -> DataFrame:
     return words.select("key", F.posexplode("w").alias("pos", "term"))
 
 
+def term_counts(words: DataFrame, terms: DataFrame, n_terms: int) -> DataFrame:
+    """(term, n): how often each of ``terms`` occurs in the texts (key, w)."""
+    every = words.select(F.explode("w").alias("term"))
+    return every.join(small(terms, n_terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+
+
+def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, w): the words of the texts of ``keys``, each key once.
+
+    Each task sends one text of a key on, however many rows have it.
+    """
+    n = keys.count()
+    wanted = docs.join(small(keys.select(F.col("key").alias("wanted")), n), F.col("key") == F.col("wanted"), "left_semi")
+    return wanted.groupBy("key").agg(F.first("text").alias("text")).select("key", match_words(F.col("text")).alias("w"))
+
+
 def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
     """(key, spans, items) of the rows of ``docs`` (key, text) that hold a benchmark window.
 
@@ -62,58 +87,55 @@ def phrase_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) ->
     ``items`` the sorted distinct ids of the items whose windows occur. ``key`` is any
     column that is the same for equal texts only; repeated keys count once.
     """
-    spark = docs.sparkSession
-    found = stash(windows(benchmark, size), "bench-windows")
-    # Equal windows of many items are one: matching does not multiply by them.
+    # Items of equal words are one; windows of equal words are one in the result.
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), match_words(F.col("text")).alias("w")).where(F.size("w") > 0)
+    found = stash(items.groupBy("w").agg(F.collect_set("item_id").alias("ids")).withColumn("item", F.monotonically_increasing_id()), "bench-items")
+    n_places = found.agg(F.sum(F.size("w"))).first()[0] or 0
+    slices = found.select("item", "ids", F.posexplode(_slices(size)).alias("at", "words"))
     distinct = stash(
-        found.groupBy("words").agg(F.array_sort(F.collect_set("item_id")).alias("items")).withColumn("window", F.xxhash64(F.array_join("words", " "))),
+        slices.groupBy("words").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("items")).withColumn("window", F.monotonically_increasing_id()),
         "bench-distinct",
     )
-    terms = distinct.select(F.explode("words").alias("term")).distinct()
-    n_terms, n_windows = terms.count(), distinct.count()
+    cut = stash(slices.select("item", "at", "words").join(distinct.select("words", "window"), "words"), "bench-windows")
+    terms = found.select(F.explode("w").alias("term")).distinct()
+    n_terms, n_windows = terms.count(), cut.count()
     words = docs.select("key", match_words(F.col("text")).alias("w"))
-    every = words.select(F.explode("w").alias("term"))
-    counts = stash(
-        every.join(small(terms, n_terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n")), "bench-term-counts"
+    counts = stash(term_counts(words, terms, n_terms), "bench-term-counts")
+    # A window's lists: of its terms, each at its first place, those with the shortest lists.
+    # A term that no text has makes its window's list empty.
+    terms_at = cut.select("item", "at", F.posexplode("words").alias("place", "term")).groupBy("item", "at", "term").agg(F.min("place").alias("place"))
+    ranked = terms_at.join(counts, "term", "left").groupBy("item", "at").agg(
+        F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), (F.col("at") + F.col("place")).alias("place"), F.col("term")))).alias("r")
     )
-    # Anchors: of each window the term with the shortest list (a term no document has makes the list empty).
-    terms_at = distinct.select("window", F.posexplode("words").alias("at", "term"))
-    rare = terms_at.join(counts, "term", "left").groupBy("window").agg(
-        F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("at"), F.col("term"))).alias("a")
+    lists = stash(ranked.where(F.get("r", F.lit(0)).n > 0).select("item", "at", F.slice("r", 1, LISTS).alias("r")), "bench-lists")
+    anchors = lists.select("item", F.explode("r").alias("r")).select("item", "r.place", "r.term").distinct()
+    needs = lists.groupBy("item").agg(
+        F.collect_list(F.struct("at", F.transform("r", lambda x: x.place).alias("places"))).alias("needs"), F.min(F.size("r")).alias("least")
     )
-    anchored = rare.where("a.n > 0").select("window", F.col("a.at").alias("at"), F.col("a.term").alias("anchor"))
-    beside_it = [F.get("words", F.col("at") + k) for k in (-1, 1)]
-    seeds = stash(
-        distinct.join(anchored, "window").select(
-            "window", "anchor", "at", F.size("words").alias("n"), beside_it[0].alias("before_w"), beside_it[1].alias("after_w")
-        ),
-        "bench-seeds",
+    index = stash(term_postings(words).join(small(anchors.select("term").distinct(), n_terms), "term", "left_semi"), "bench-postings")
+    # Lists meet where the item would begin, which may be before the text: it may hold a later window alone.
+    moved = index.join(small(anchors, n_places), "term").select("key", "item", (F.col("pos") - F.col("place")).alias("begin"), "place")
+    met = moved.groupBy("key", "item", "begin").agg(F.collect_set("place").alias("places"))
+    # Where fewer lists meet than any window has, none is looked at.
+    many = met.join(small(needs, n_windows), "item").where(F.size("places") >= F.col("least"))
+    all_meet = F.filter("needs", lambda n: F.size(F.array_except(n.places, "places")) == 0)
+    candidates = stash(
+        many.select("key", "item", "begin", F.explode(all_meet).alias("n")).select("key", "item", F.col("n.at").alias("at"), (F.col("begin") + F.col("n.at")).alias("start")).where("start >= 0"),
+        "bench-candidates",
     )
-    anchors = seeds.select(F.col("anchor").alias("term")).distinct()
-    index = stash(term_postings(words).join(small(anchors, n_terms), "term", "left_semi"), "postings")
-    # Postings of one text side by side; copies of a text are one. Its size follows the
-    # corpus, so it is never broadcast.
-    by_text = stash(index.groupBy(F.col("key").alias("doc_key")).agg(F.collect_set(F.struct("pos", "term")).alias("postings")), "postings-by-text")
-    joined = docs.join(by_text.hint("merge"), F.col("key") == F.col("doc_key"))
-    discard(index)
-    seen = joined.select("key", "postings", match_words(F.col("text")).alias("w"))  # the text is shuffled, not its words
-    reach = 2 * size - 1
-
-    def around(p: Column) -> Column:
-        base = F.greatest(p.pos - (size - 1), F.lit(0))
-        lists = [F.get("w", p.pos + k) for k in (-1, 1)]
-        return F.struct(p.pos.alias("pos"), p.term.alias("term"), base.alias("base"), lists[0].alias("before"), lists[1].alias("after"), F.slice("w", base + 1, F.lit(reach)).alias("near"))
-
-    placed = seen.select("key", F.explode(F.transform("postings", around)).alias("p")).select("key", "p.*")
-    beside = (F.col("before_w").isNull() | (F.col("before_w") == F.col("before"))) & (F.col("after_w").isNull() | (F.col("after_w") == F.col("after")))
-    proposed = placed.join(small(seeds, n_windows), (F.col("term") == F.col("anchor")) & (F.col("pos") >= F.col("at")) & beside)
-    start = F.col("pos") - F.col("at")
-    exact = F.xxhash64(F.array_join(F.slice("near", F.greatest(start - F.col("base") + 1, F.lit(1)), F.col("n")), " ")) == F.col("window")
-    # Stored before copies are reduced, so that the join's hot keys can be split.
-    copies = stash(proposed.where(exact).select("key", F.struct(start.alias("start"), F.col("n"), F.col("window")).alias("hit")), "bench-hits")
-    checked = stash(copies.groupBy("key").agg(F.collect_set("hit").alias("hits")), "bench-hits-once")
-    spans = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.struct(h.start.alias("start"), (h.start + h.n).alias("end")))))
-    return _with_items(checked, spans, distinct, n_windows)
+    # A text has no more candidates than places times windows that begin alike: what a row holds follows its text.
+    by_text = candidates.groupBy(F.col("key").alias("text_key")).agg(F.collect_list(F.struct("item", "at", "start")).alias("found"))
+    seen = texts_of(docs, by_text.select(F.col("text_key").alias("key"))).join(by_text, F.col("key") == F.col("text_key"))
+    around = F.transform("found", lambda c: F.struct(c.item.alias("item"), c.at.alias("at"), c.start.alias("start"), F.slice("w", c.start + 1, F.lit(size)).alias("near")))
+    near = seen.select("key", F.explode(around).alias("c")).select("key", "c.*")
+    # A window of fewer than ``size`` words is a whole short item.
+    hits = near.join(small(cut, n_windows), ["item", "at"]).where(F.slice("near", F.lit(1), F.size("words")) == F.col("words"))
+    hit = F.struct(F.col("start"), (F.col("start") + F.size("words")).alias("end"), F.col("window"))
+    checked = stash(hits.groupBy("key").agg(F.collect_set(hit).alias("hits")), "bench-hits")
+    spans = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.struct(h.start.alias("start"), h.end.alias("end")))))
+    out = _with_items(checked, spans, distinct, n_windows)
+    discard(found, cut, counts, lists, index, candidates, checked, distinct)
+    return out
 
 
 def _with_items(checked: DataFrame, spans: Column, distinct: DataFrame, n_windows: int) -> DataFrame:
@@ -146,8 +168,7 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
     terms = distinct.select(F.explode("words").alias("term")).distinct()
     n_terms, n_windows = terms.count(), distinct.count()
     words = docs.select("key", match_words(F.col("text")).alias("w"))
-    every = words.select(F.explode("w").alias("term"))
-    counts = stash(every.join(small(terms, n_terms), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("n")), "near-term-counts")
+    counts = stash(term_counts(words, terms, n_terms), "near-term-counts")
     terms_at = distinct.select("window", F.posexplode("words").alias("at", "term"))
     ranked = terms_at.join(counts, "term", "left").groupBy("window").agg(
         F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), F.col("at"), F.col("term")))).alias("r")
@@ -164,9 +185,9 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
     anchors = seeds.select(F.col("anchor").alias("term")).distinct()
     index = stash(term_postings(words).join(small(anchors, n_terms), "term", "left_semi"), "near-postings")
     by_text = stash(index.groupBy(F.col("key").alias("doc_key")).agg(F.collect_set(F.struct("pos", "term")).alias("postings")), "near-postings-by-text")
-    joined = docs.join(by_text.hint("merge"), F.col("key") == F.col("doc_key"))
     discard(index)
-    seen = joined.select("key", "postings", match_words(F.col("text")).alias("w"))
+    once = docs.groupBy("key").agg(F.first("text").alias("text"))
+    seen = once.join(by_text.hint("merge"), F.col("key") == F.col("doc_key")).select("key", "postings", match_words(F.col("text")).alias("w"))
     most = size + extra
 
     def around(p: Column) -> Column:
@@ -190,7 +211,9 @@ def proximity_matches(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW,
     copies = stash(stretches.select("key", hit.alias("hit")), "near-hits")
     checked = stash(copies.groupBy("key").agg(F.collect_set("hit").alias("hits")), "near-hits-once")
     spans = F.array_sort(F.array_distinct(F.transform("hits", lambda h: F.struct(h.start.alias("start"), h.end.alias("end")))))
-    return _with_items(checked, spans, distinct, n_windows)
+    out = _with_items(checked, spans, distinct, n_windows)
+    discard(found, distinct, counts, seeds, by_text, copies, checked)
+    return out
 
 
 def covered(spans: Column) -> Column:
@@ -205,47 +228,44 @@ def covered(spans: Column) -> Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, matches: Callable[..., DataFrame] = phrase_matches) -> DataFrame:
-    """``docs`` (with a column text) and what of the benchmark each row holds, by phrase or by proximity.
+    """``docs`` (with a column text) and, in a struct column ``hit``, what of the benchmark each row holds.
 
-    Adds n_words, n_hit, items (sorted ids as strings) and spans (word positions). Texts are
-    matched once however often they repeat. Null and empty texts have no words and no hits.
+    hit has n_words, n_hit (words in matches, by phrase or by proximity), items (sorted ids
+    as strings) and spans (word positions; null without any). If ``docs`` has a column hit,
+    the struct's name has underscores before it: it is the last column. Texts are matched
+    once however often they repeat. Null and empty texts have no words and no hits; an empty
+    benchmark hits nothing, an empty table gives no rows; other columns, whatever their names, stay.
     """
+    key, found_key, spans, items, out = free_names(docs.columns, "key", "found_key", "spans", "items", "hit")
     digest = F.substr(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256), F.lit(1), F.lit(32))
-    keyed = docs.withColumn("__key", F.unhex(digest)).withColumn("__n_words", F.size(match_words(F.col("text"))).cast("long"))
+    keyed = docs.withColumn(key, F.unhex(digest))
     found = matches(
-        keyed.where("text IS NOT NULL").select(F.col("__key").alias("key"), F.col("text")), benchmark, size
-    ).select(F.col("key").alias("__found"), F.col("spans").alias("__spans"), F.col("items").alias("__items"))
-    entries = found.agg(F.sum(F.size("__spans") + F.size("__items") + 1)).first()[0] or 0
-    joined = keyed.join(small(found, entries, BROADCAST_HITS), F.col("__key") == F.col("__found"), "left")
-    return joined.select(
-        *docs.columns,
-        "__n_words",
-        F.coalesce(covered(F.col("__spans")), F.lit(0)).cast("long").alias("__n_hit"),
-        F.coalesce("__items", F.expr("cast(array() as array<string>)")).alias("__items"),
-        F.col("__spans"),
+        keyed.where("text IS NOT NULL").select(F.col(key).alias("key"), F.col("text").cast("string").alias("text")), benchmark, size
+    ).select(F.col("key").alias(found_key), F.col("spans").alias(spans), F.col("items").alias(items))
+    entries = found.agg(F.sum(F.size(spans) + F.size(items) + 1)).first()[0] or 0
+    joined = keyed.join(small(found, entries, BROADCAST_HITS), F.col(key) == F.col(found_key), "left")
+    n_words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(ANY_WORD)).cast("long")
+    hit = F.struct(
+        n_words.alias("n_words"),
+        F.coalesce(covered(F.col(spans)), F.lit(0)).cast("long").alias("n_hit"),
+        F.coalesce(F.col(items), F.expr("cast(array() as array<string>)")).alias("items"),
+        F.col(spans).alias("spans"),
     )
+    return joined.select(*docs.columns, hit.alias(out))
+
+
+def _digests(spark: SparkSession, sf_dir: str, matches: Callable[..., DataFrame]) -> DataFrame:
+    """doc_id, hit and what both queries return of it."""
+    got = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), matches=matches)
+    return got.select("doc_id", "hit.*", F.size("hit.items").cast("long").alias("n_items"), F.sha2(F.array_join("hit.items", ","), 256).alias("items_sha256"))
 
 
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark overlap of all documents with all items."""
-    got = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return got.select(
-        "doc_id",
-        F.col("__n_words").alias("n_words"),
-        F.col("__n_hit").alias("n_hit"),
-        F.size("__items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"),
-        (F.col("__n_hit") > 0).alias("contaminated"),
-    )
+    got = _digests(spark, sf_dir, phrase_matches)
+    return got.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op9_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words close together in all documents: what exact windows miss if a word is put in, left out or changed."""
-    got = contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"), matches=proximity_matches)
-    return got.select(
-        "doc_id",
-        F.col("__n_words").alias("n_words"),
-        F.col("__n_hit").alias("n_near"),
-        F.size("__items").cast("long").alias("n_items"),
-        F.sha2(F.array_join("__items", ","), 256).alias("items_sha256"),
-    )
+    return _digests(spark, sf_dir, proximity_matches).select("doc_id", "n_words", F.col("n_hit").alias("n_near"), "n_items", "items_sha256")
