@@ -75,6 +75,21 @@ def test_redaction(spark):
     assert [r[0] for r in df.select(pii.redact(df.text, pii.personal_spans(df.text))).collect()] == ["é <email>, <ip>.", None, "clean"]
 
 
+def test_redaction_of_long_texts_and_overlaps_matches_a_plain_cut(spark):
+    rng = random.Random(6)
+    pieces = ["a@b.cc", "4111 1111 1111 1111", "+1 (132) 555-1352", "10.1.2.3", "SSN 123-45-6789", " é😀 ", "text " * 40, "1.2.3.4@x.yz"]
+    texts = ["".join(rng.choice(pieces) + rng.choice([" ", ", ", ""]) for _ in range(n)) for n in (3, 70, 400, 1500)]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in df.select("text", pii.personal_spans(df.text).alias("spans")).select("text", "spans", pii.redact(F.col("text"), F.col("spans")).alias("clean")).collect():
+        want, at = "", 0
+        for s in r.spans:
+            if s.start >= at:
+                want += r.text[at : s.start] + f"<{s.kind}>"
+            at = max(at, s.end)
+        assert r.clean == want + r.text[at:] and len(r.spans) > 0
+        assert all(re.fullmatch(BASE[s.kind], r.text[s.start : s.end]) for s in r.spans if s.kind in BASE)
+
+
 def words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
 
@@ -144,17 +159,17 @@ def test_proximity_matches_brute_force(spark, monkeypatch, bound):
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts * 2)], "doc_id long, text string")
     items = spark.createDataFrame(bench, "item_id long, text string")
     near = {r.doc_id: r for r in decontamination.contamination(docs, items, matches=decontamination.proximity_matches).collect()}
-    phrases = decontamination.contamination(docs, items).where("doc_id < 6 AND __n_hit > 0")
+    phrases = decontamination.contamination(docs, items).where("doc_id < 6 AND hit.n_hit > 0")
     assert phrases.count() == 0
     for k, t in enumerate(texts * 2):
         spans, ids = brute_near(t, bench)
-        assert ([tuple(x) for x in near[k]["__spans"] or []], near[k]["__items"]) == (spans, ids)
-    assert [bool(near[k]["__items"]) for k in range(6)] == [True, True, True, True, False, False]
+        assert ([tuple(x) for x in near[k].hit.spans or []], near[k].hit["items"]) == (spans, ids)
+    assert [bool(near[k].hit["items"]) for k in range(6)] == [True, True, True, True, False, False]
 
 
 def test_decontamination_of_empty_tables(spark, odd, none):
     bench = spark.createDataFrame([], "item_id long, text string")
-    assert decontamination.contamination(odd, bench).where("__n_hit > 0").count() == 0
+    assert decontamination.contamination(odd, bench).where("hit.n_hit > 0").count() == 0
     assert decontamination.contamination(none, bench.union(spark.createDataFrame([(1, "a b")], bench.schema))).count() == 0
 
 
@@ -307,7 +322,7 @@ def test_pipeline_stage_by_stage(spark, tmp_path):
     from textmill.llm.decontamination import contamination
 
     bench = spark.read.parquet(f"{sf}/benchmark.parquet")
-    assert clean.count() == contamination(one, bench).where("__n_hit = 0").count() < one.count()
+    assert clean.count() == contamination(one, bench).where("hit.n_hit = 0").count() < one.count()
     safe = run("pii", clean)
     assert safe.columns == columns and safe.count() == clean.count()
     assert not any(base_spans(r.text) for r in safe.collect())
@@ -328,3 +343,23 @@ def test_pipeline_stages_stand_odd_and_empty_tables(spark, odd, none, folder):
             assert got.count() <= docs.count() * 60
     left = corpus_pipeline.drop_near_copies(spark, odd, sf)
     assert left.where("doc_id = 1").count() == 1 and left.where("doc_id = 2").count() == 0
+
+
+def test_pipeline_stages_keep_the_values_of_clashing_columns(spark, folder):
+    sf = "/root/testdata/sf0.001"
+    names = "__m __row __spans __key __n_words __group m counts cut_stratum cutoff row keep hit key found_key spans items w pos term start stratum label_id fp component_id group".split()
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, sf)
+        rows = got.collect()
+        assert got.columns == docs.columns and rows
+        assert all(r[n] == f"{n}:{r.doc_id}" for r in rows for n in names)
+
+
+def test_run_leaves_no_tables_of_its_stages(spark):
+    from textmill.sources import shared
+
+    before = len(shared._written)
+    corpus_pipeline.run(spark, "/root/testdata/sf0.001").count()
+    left = [p.rsplit("/", 1)[-1] for p in shared._written[before:]]
+    assert sum(p.startswith(("textmill-quality-", "textmill-dedup-", "textmill-simhash-", "textmill-bench-")) for p in left) == 0
