@@ -1,6 +1,8 @@
 """Packs end to end, made puzzles, completions, reviews, payloads, wording."""
 
 import json
+import random
+import re
 from random import Random
 
 import pytest
@@ -105,10 +107,11 @@ def test_payloads(spark):
     assert one(spark, "word " * 30, Y.trim_excerpt(t, 33)) == ("word " * 6).strip()
     assert one(spark, "x" * 50, Y.trim_excerpt(t, 20)) == "x" * 20
     assert one(spark, "short", Y.trim_excerpt(t, 20)) == "short"
-    assert Y.merge_short(["a" * 100, "b" * 100, "c" * 10]) == ["a" * 100 + "\n" + "b" * 100 + "\n" + "c" * 10]
-    assert Y.merge_short(["a" * 200, "b" * 200]) == ["a" * 200, "b" * 200] and Y.merge_short(["a"]) == ["a"]
+    merged = lambda *blocks: one(spark, "", Y.merge_short(F.array(*map(F.lit, blocks))))
+    assert merged("a" * 100, "b" * 100, "c" * 10) == ["a" * 100 + "\n" + "b" * 100 + "\n" + "c" * 10]
+    assert merged("a" * 200, "b" * 200) == ["a" * 200, "b" * 200] and merged("a") == ["a"]
     text = ("Some sentence here. " * 120).strip()
-    parts = Y.chunks(text)
+    parts = one(spark, text, Y.chunks(t))
     assert all(p.endswith(".") for p in parts) and "".join(parts).replace(" ", "") == text.replace(" ", "")
     assert one(spark, "p one\n\np two", Y.payload_blocks(t)) == ["p one\np two"]
     assert one(spark, None, Y.payload_blocks(t)) == []
@@ -121,6 +124,54 @@ def test_payloads(spark):
     assert one(spark, "", Y.passage_span(passages, F.lit(9), 5)) == "c" * 10
 
 
+def brute_blocks(text):
+    """Blocks by trying every place to cut, from the last."""
+    text = (text or "").replace("\r\n", "\n").replace("\r", "\n")
+    for breaks in (r"\n\s*\n+", "\n"):
+        parts = [p.strip() for p in re.split(breaks, text) if p.strip()]
+        if len(parts) > 1:
+            groups = [[]]
+            for p in parts:
+                if sum(map(len, groups[-1])) >= 180:
+                    groups.append([])
+                groups[-1].append(p)
+            if len(groups) > 1 and len("\n".join(groups[-1])) < 180:
+                groups[-2:] = [groups[-2] + groups[-1]]
+            return ["\n".join(g) for g in groups]
+    if len(text) <= 1400:
+        return [text.strip()] if text.strip() else []
+    out = []
+    while text:
+        ends = [len(text)] if len(text) <= 900 else []
+        for mark, more in ((". ", 1), ("\n", 0), ("; ", 1), (", ", 1), (" ", 0)):
+            ends += [k + more for k in range(900 - len(mark), 539, -1) if text[k : k + len(mark)] == mark]
+        end = [*ends, 900][0]
+        out, text = [*out, text[:end].strip()], text[end:]
+    return [x for x in out if x]
+
+
+def test_payload_blocks_match_brute_force(spark):
+    rng = random.Random(3)
+    texts = [None, "", "  \n ", "one", "é" * 2000]
+    for marks in (["\n\n", " ", "\n \n\n"], ["\n", " ", "\r\n"], [". ", " ", ", ", "; "], [" ", ", "], ["", "x"], ["; ", "y"]):
+        texts += ["".join("w" * rng.randint(1, 60) + rng.choice(marks) for _ in range(rng.randint(1, 120))) for _ in range(12)]
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k long, t string")
+    got = {r.k: r.b for r in rows.select("k", Y.payload_blocks(F.col("t")).alias("b")).collect()}
+    assert [got[k] for k in range(len(texts))] == [brute_blocks(x) for x in texts]
+
+
+def test_halves_and_selected_passages(spark):
+    t = F.col("t")
+    halves = lambda x: (one(spark, x, Y.halves(t)[0]), one(spark, x, Y.halves(t)[1]))
+    assert halves("One part. Other part.") == ("One part.", "Other part.") and halves("aaaa bbbb cccc") == ("aaaa bbbb", "cccc") and halves("abcd") == ("abc", "d")
+    text = "\n\n".join(f"Passage {k} " + "word " * 40 for k in range(9))
+    for count in (1, 3):
+        got = one(spark, text, Y.selected_passages(t, count, F.lit("s"), 100, 400, 0.2))
+        assert 1 <= len(got) <= count and len(set(got)) == len(got) and all(p in text for p in got)
+    assert len(one(spark, text, Y.selected_passages(t, 20, F.lit("s"), 100, 400, 0.2))) == 9
+    assert one(spark, "short", Y.selected_passages(t, 2, F.lit("s"), 100, 400, 0.2)) == ["short"]
+
+
 def test_wording_languages_and_titles(spark):
     t = F.col("t")
     assert one(spark, "- According to the provided text , evidence is thin -", V.recall_text(t)) == "from what is known, known facts is thin"
