@@ -47,6 +47,45 @@ def test_global_numbers_are_gapless_and_in_order(spark):
     assert got == {k: k for k in range(1000)}
 
 
+@pytest.mark.parametrize("partitions", [6, 8])
+def test_numbers_and_splits_hold_with_a_payload(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        rows = spark.range(0, 20_000, 1, 5).select((F.col("id") * 7919 % 20_000).alias("v"), F.repeat(F.lit("text "), 20).alias("text"), (F.col("id") % 3 == 0).alias("hot"))
+        got = S.numbered(rows, ["v"])
+        assert got.columns == ["v", "text", "hot", "ord"] and got.where("ord <> v").count() == 0 and got.count() == 20_000
+        split = S.split_by_position(rows, "v", 0.9)
+        assert split.columns == ["v", "text", "hot", "split"] and split.where("split <> if(v < 18000, 'train', 'eval')").count() == 0
+        inside = S.numbered(rows, ["v"], "n", ["hot"]).groupBy("hot").agg(F.count("n").alias("rows"), F.countDistinct("n").alias("kinds"), F.max("n").alias("last"))
+        assert all(r.rows == r.kinds == r.last + 1 for r in inside.collect())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_groups_without_a_name_are_numbered_too(spark):
+    rows = spark.createDataFrame([(k, None if k % 2 else "a") for k in range(9)], "id long, g string")
+    assert {r.id: r.n for r in S.numbered(rows, ["id"], "n", ["g"]).collect()} == {k: k // 2 for k in range(9)}
+    assert {r.id: r.split for r in S.split_by_position(rows, "id", 0.5, "g").collect()} == {k: "train" if k < 4 else "eval" for k in range(9)}
+
+
+def test_retrieval_by_lookup_equals_retrieval_by_join(spark, monkeypatch):
+    from textmill.functions import text as T
+    from textmill.operators import corpus as C
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    chunks = C.chunk(docs).repartition(5)
+    asked = docs.where("doc_id % 10 = 0").select(F.col("doc_id").alias("query_id"), F.col("doc_id").alias("own"), T.tokens(F.substring("text", 1, 80)).alias("tokens"))
+    for per_source in (False, True):
+        rows = []
+        for bound, cells, held in ((200_000, 2_000_000, 200_000), (200_000, 50, 300), (0, 1, 1)):
+            monkeypatch.setattr(C, "BROADCAST_ROWS", bound)
+            monkeypatch.setattr(C, "CELLS", cells)
+            monkeypatch.setattr(C, "CANDIDATES", held)
+            rows.append(sorted(map(tuple, C.retrieve(asked, chunks, 4, per_source).collect())))
+        assert rows[0] == rows[1] == rows[2] and rows[0]
+
+
 @pytest.mark.parametrize("n,f", [(10, 0.75), (3, 0.5), (1, 0.9), (7, 1.0)])
 def test_positional_split(spark, n, f):
     got = {r.id: r.split for r in S.split_by_position(spark.range(n), "id", f).collect()}
