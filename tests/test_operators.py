@@ -101,12 +101,15 @@ def test_balanced_sample_takes_turns(spark):
 
 def test_rotation_moves_its_cursor_when_a_bin_empties(spark):
     rows = [("f", b, s, i) for i, (b, s) in enumerate([("a", 0.9), ("b", 0.9), ("b", 0.8), ("c", 0.7), ("c", 0.6), ("c", 0.5)])] + [("g", "z", 0.1, 50), ("g", "z", 0.2, 51)]
-    df = spark.createDataFrame(rows, "family string, global_bin string, local_score double, conv_id long")
+    df = spark.createDataFrame([(*r, 0.0, True) for r in rows], "family string, global_bin string, local_score double, conv_id long, review_score double, eligible boolean")
     got = {}
-    for r in O.rotate_bins(df, {"f": 5, "g": 1}).collect():
+    for r in O.rotate_bins(df, 5).collect():
         got.setdefault(r.family, {})[r.place] = r.conv_id
-    # a(0); of b, c the cursor 1 is c(3); 2 mod 2 is b(1); 3 mod 2 is c(4); 4 mod 2 is b(2).
-    assert [got["f"][k] for k in range(5)] == [0, 3, 1, 4, 2] and got["g"] == {0: 51}
+    # a(0); a is empty, of b and c the second is c(3); then b(1), c(4), b(2).
+    assert [got["f"][k] for k in range(5)] == [0, 3, 1, 4, 2] and got["g"] == {0: 51, 1: 50}
+    # One of each family a round, the family with fewer rows first.
+    chosen = sorted(O.mds_select(df, 5).collect(), key=lambda r: (r.place, r.family != "g"))
+    assert [r.conv_id for r in chosen] == [51, 0, 50, 3, 1]
 
 
 def test_quoted_references_need_an_earlier_turn(spark):

@@ -67,8 +67,8 @@ def skeleton_steps(text: Column) -> Column:
 
 
 def query_plan(text: Column) -> Column:
-    """Steps of a plan written with arrows, semicolons or on lines."""
-    return F.filter(F.transform(F.split(text, r"\s*(?:->|=>|→|>|;|\n)\s*"), lambda x: F.trim(x)), lambda s: s != "")
+    """Steps of a plan written with arrows, semicolons or on lines; dashes around a step are left out."""
+    return F.filter(F.transform(F.split(text, r"\s*(?:->|=>|;|\n)\s*"), lambda x: F.btrim(x, F.lit(" -\t"))), lambda s: s != "")
 
 
 def reasoning_failure(reasoning: Column, prompt: Column) -> Column:

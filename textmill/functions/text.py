@@ -2,17 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Function words by language; other languages have none.
 STOPWORDS = {
-    "en": "and the for with from that this was are".split(),
-    "da": "og det den der som med for til fra var".split(),
+    "en": ["and", "the", "for", "with", "from", "that", "this", "was", "are"],
+    "da": ["og", "det", "den", "der", "som", "med", "for", "til", "fra", "var"],
 }
 BLANKS = " \t\r\x0b\x0c"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it in ``use``, also inside other lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def collapse(text: Column) -> Column:
     """White space runs to one space, ends trimmed."""
     return F.trim(F.regexp_replace(text, r"\s+", " "))

@@ -232,32 +232,55 @@ def reaction_grounded(spark, sf_dir):
     return O.quoted_references(read(spark, sf_dir, "conversations"))
 
 
+ACTS = ("opening", "constraint added", "follow_up", "late change", "closing")
+
+
+def _dialogues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations with a plan, a skeleton, reviews and kinds that follow from their ids."""
+    convs = O.conversations(read(spark, sf_dir, "conversations"))
+    i = F.col("conv_id")
+    acts = F.array(*map(F.lit, ACTS))
+    named = lambda name, n: F.concat(F.lit(name), (i % n).cast("string"))
+    step = lambda m, k: F.struct(m.role.alias("role"), F.get(acts, ((i * 7 + k) % len(ACTS)).cast("int")).alias("dialogue_act"))
+    return convs.withColumns(
+        {
+            "skeleton": F.transform("messages", step), "family": named("family", 3), "domain": named("domain", 4), "intent_trajectory": named("intent", 2),
+            "subtask_trajectory": F.when(i % 5 != 0, named("subtask", 2)), "work_session_type": named("session", 2),
+            "plan_steps": F.when(i % 3 == 0, F.array(F.lit("Ask Now"), F.lit("Refine it!"))).otherwise(F.expr("cast(array() as array<string>)")),
+            "plan": F.when(i % 3 == 1, F.lit("open -> detail; - close")), "review_score": ((i % 11) / 10).cast("double"), "accepted": i % 7 != 0,
+            "reviewers": F.array(F.struct(F.lit("outcome").alias("name"), (i % 4 != 0).alias("passed"))),
+        }
+    )
+
+
+# What a word is differs between SQL's and Java's patterns, so tests compare these five with a plain form.
 @query()
-def entity_grounding(spark, sf_dir):
-    """Share of the users' salient terms that answers take up; Java's word boundary is Unicode-aware, SQL's is not."""
-    return O.local_scores(O.conversations(read(spark, sf_dir, "conversations"))).select("conv_id", "entity_grounding")
+def mds_scores(spark, sf_dir):
+    """Eight scores, the mean and the bin of all conversations."""
+    return O.mds_scores(_dialogues(spark, sf_dir))
 
 
 @query()
-def first_turn_substance(spark, sf_dir):
-    return O.local_scores(O.conversations(read(spark, sf_dir, "conversations"))).select("conv_id", "first_turn_substance")
+def mds_select(spark, sf_dir):
+    return O.mds_select(O.mds_scores(_dialogues(spark, sf_dir)), 60)
 
 
 @query()
-def mds_scores(spark, sf_dir):
-    return O.local_scores(O.conversations(read(spark, sf_dir, "conversations")))
+def mds_rotate(spark, sf_dir):
+    return O.rotate_bins(O.mds_scores(_dialogues(spark, sf_dir)), 30)
 
 
 @query()
-def mds_select(spark, sf_dir):
-    return O.rank_in_bins(O.local_scores(O.conversations(read(spark, sf_dir, "conversations"))), 60).select("conv_id", "global_bin", "local_score", "bin_rank")
+def mds_selection_report(spark, sf_dir):
+    scored = O.mds_scores(_dialogues(spark, sf_dir))
+    return O.mds_report(scored, O.mds_select(scored, 60), 60)
 
 
 @query()
-def mds_rotate(spark, sf_dir):
-    scored = O.local_scores(O.conversations(read(spark, sf_dir, "conversations")))
-    families = scored.withColumn("family", F.when(F.col("entity_grounding") >= 0.5, "grounded").otherwise("general"))
-    return O.rotate_bins(families, {"grounded": 20, "general": 30})
+def skeleton_matches(spark, sf_dir):
+    """Which conversations fit their skeleton and alternate well."""
+    rows = _dialogues(spark, sf_dir)
+    return rows.select("conv_id", O.well_formed(F.col("messages")).alias("well_formed"), O.skeleton_fits(F.col("messages"), F.col("skeleton")).alias("fits"))
 
 
 @query(f"SELECT conv_id, turn, {sql_collapse('text')} AS prompt FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS r FROM ({USERS})) WHERE r = 1")
