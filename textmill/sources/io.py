@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,7 @@ DOCUMENT = ST.StructType(
     ]
 )
 READERS = (".jsonl", ".json", ".parquet", ".txt")
+RECORDS = (".yaml", ".yml", ".json", ".jsonl", ".parquet")
 
 
 def read_rows(spark: SparkSession, path: str, schema: ST.StructType | str | None = None) -> DataFrame:
@@ -35,6 +37,66 @@ def read_rows(spark: SparkSession, path: str, schema: ST.StructType | str | None
     return (reader.schema(schema) if schema is not None else reader).json(path)
 
 
+def source_label(source: Mapping[str, object]) -> str:
+    """A source's data set name, else its path."""
+    label = source.get("dataset") or source.get("path")
+    if not label:
+        raise ValueError("a source needs a dataset or a path")
+    return str(label)
+
+
+def _only(source: Mapping[str, object], *names: str) -> str:
+    """The one of ``names`` that is set."""
+    given = [n for n in names if source.get(n) is not None]
+    if len(given) != 1:
+        raise ValueError(f"expected exactly one of {', '.join(names)}; got {', '.join(given) or 'none'}")
+    return given[0]
+
+
+def records(spark: SparkSession, source: Mapping[str, object], presets: Mapping[str, list[dict]] | None = None) -> DataFrame:
+    """Configured records: a preset, inline ones, or a file (YAML, JSON, JSON lines, Parquet).
+
+    Presets, inline and YAML records are configuration and come through the driver.
+    """
+    kind = _only(source, "preset", "inline", "path")
+    if kind == "preset":
+        if source["preset"] not in (presets or {}):
+            raise ValueError(f"no preset {source['preset']}")
+        return _inline(spark, presets[source["preset"]])
+    if kind == "inline":
+        return _inline(spark, source["inline"])
+    path = str(source["path"])
+    if not path.endswith(RECORDS):
+        raise ValueError(f"no reader for {path}: expected one of {', '.join(RECORDS)}")
+    if not path.endswith((".yaml", ".yml")):
+        return read_rows(spark, path)
+    import yaml  # only sources written in YAML need it
+
+    loaded = yaml.safe_load(spark.read.text(path, wholetext=True).first()[0])
+    return _inline(spark, loaded if isinstance(loaded, list) else [loaded])
+
+
+def _inline(spark: SparkSession, rows: object) -> DataFrame:
+    text = F.lit(json.dumps(list(rows), ensure_ascii=False))
+    schema = spark.range(1).select(F.schema_of_json(text)).first()[0]
+    return spark.range(1).select(F.inline(F.from_json(text, schema)))
+
+
+def load_sources(spark: SparkSession, cfg: Mapping[str, object]) -> DataFrame:
+    """Documents of the one source that a configuration names: inline_docs or source_path (wikipedia needs a network)."""
+    kind = _only(cfg, "wikipedia", "inline_docs", "source_path")
+    if kind == "wikipedia":
+        raise ValueError("wikipedia documents need a network; read a stored copy by source_path")
+    if kind == "inline_docs" and not cfg["inline_docs"]:
+        raise ValueError("inline_docs is empty")
+    return normalize_documents(_inline(spark, cfg["inline_docs"]) if kind == "inline_docs" else read_rows(spark, str(cfg["source_path"])))
+
+
+def write_preview(rows: DataFrame, order: str, n: int, path: str) -> None:
+    """The first ``n`` rows as JSON lines."""
+    rows.orderBy(order).limit(n).coalesce(1).write.mode("overwrite").json(path)
+
+
 def normalize_documents(rows: DataFrame, language: str | None = None) -> DataFrame:
     """Document columns with their defaults: id by title, url by source; other languages are an error."""
     have = set(rows.columns)
