@@ -30,8 +30,6 @@ BROADCAST_ROWS = 500_000
 #: The texts with hits are broadcast only up to this many spans and items; beyond, the join is dealt out.
 BROADCAST_HITS = 200_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A word before A-Z are lower-cased.
-ANY_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def match_words(text: Column) -> Column:
@@ -244,7 +242,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, mat
     ).select(F.col("key").alias(found_key), F.col("spans").alias(spans), F.col("items").alias(items))
     entries = found.agg(F.sum(F.size(spans) + F.size(items) + 1)).first()[0] or 0
     joined = keyed.join(small(found, entries, BROADCAST_HITS), F.col(key) == F.col(found_key), "left")
-    n_words = F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(ANY_WORD)).cast("long")
+    n_words = F.size(match_words(F.col("text").cast("string"))).cast("long")
     hit = F.struct(
         n_words.alias("n_words"),
         F.coalesce(covered(F.col(spans)), F.lit(0)).cast("long").alias("n_hit"),
