@@ -126,7 +126,7 @@ def test_ordered_map_keeps_input_order(spark):
 def test_runs(spark, tmp_path):
     assert U.hash_spec({"b": 1, "a": "é"}) == U.hash_spec({"a": "é", "b": 1})
     for k, (done, error) in enumerate([("t1", None), ("t3", None), ("t2", None), (None, None), ("t9", "boom")]):
-        U.write_manifest(str(tmp_path), {"run_id": f"r{k}", "pack": "p", "spec_hash": "h", "started_at": "t0", "finished_at": done, "error": error, "rows": k})
+        U.write_manifest(spark, str(tmp_path), {"run_id": f"r{k}", "pack": "p", "spec_hash": "h", "started_at": "t0", "finished_at": done, "error": error, "rows": k})
     runs = U.manifests(spark, str(tmp_path))
     assert {r.run_id: r.s for r in runs.select("run_id", U.status().alias("s")).collect()} == {"r0": "completed", "r1": "completed", "r2": "completed", "r3": "running", "r4": "failed"}
     assert [r.run_id for r in U.latest(runs).collect()] == ["r1"]

@@ -249,3 +249,14 @@ def test_artifacts(spark):
     assert [(m.role, m.content) for m in got] == [("user", "u1"), ("assistant", "a1"), ("user", "u2")]
     got = one(spark, "", AR.fallback_skeleton(F.array(F.lit("ask"), F.lit("fix"))))
     assert [(s.role, s.act) for s in got] == [("user", "ask"), ("assistant", "respond_to_ask"), ("user", "fix"), ("assistant", "respond_to_fix")]
+
+
+def test_publish_splits_a_large_run_by_position(spark, tmp_path, monkeypatch):
+    rows = spark.range(0, 12_000, 1, 5).select(F.format_string("%06d", F.col("id") * 7919 % 12_000).alias("id"), F.repeat(F.lit("payload "), 30).alias("text"), (F.col("id") % 3).alias("n"))
+    pack = P.Pack("large", lambda spark, cfg: rows, lambda: {"has_text": F.length("text") > 0}, fraction=0.9)
+    monkeypatch.setitem(P.PACKS, "large", pack)
+    run_id = P.run(spark, str(tmp_path / "runs"), "large", {})
+    P.publish(spark, str(tmp_path / "runs"), "large", run_id, f"{tmp_path}/pub")
+    data = spark.read.parquet(f"{tmp_path}/pub/data")
+    assert data.count() == data.select("id").distinct().count() == 12_000
+    assert data.where("split <> if(id < '010800', 'train', 'eval')").count() == 0

@@ -6,7 +6,6 @@ import json
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import UTC, datetime
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import render as N
 from ..functions import text as T
+from ..sources.shared import matches, write_text
 from . import checks as K
 from . import corpus as C
 from . import runs as U
@@ -107,20 +107,20 @@ def run(spark: SparkSession, root: str, pack: str, cfg: dict[str, Any]) -> str:
     """Build a pack's rows under ``root`` and return the run's id; an equal completed run is reused."""
     spec = {"pack": pack, "config": cfg}
     digest = U.hash_spec(spec)
-    if any(Path(root).glob(f"{pack}/*/manifest.json")):
+    if matches(spark, f"{root}/{pack}/*/manifest.json"):
         done = U.latest(U.manifests(spark, root)).where((F.col("pack") == pack) & (F.col("spec_hash") == digest)).collect()
         if done:
             return done[0].run_id
     run_id, started = U.new_run_id(spec), datetime.now(UTC).isoformat(timespec="seconds")
     manifest = {"run_id": run_id, "pack": pack, "spec_hash": digest, "started_at": started, "finished_at": None, "error": None, "rows": None}
-    U.write_manifest(root, manifest)
+    U.write_manifest(spark, root, manifest)
     try:
         PACKS[pack].build(spark, cfg).write.parquet(f"{root}/{pack}/{run_id}/rows")
         manifest["rows"] = spark.read.parquet(f"{root}/{pack}/{run_id}/rows").count()
     except Exception as e:
-        U.write_manifest(root, manifest | {"error": f"{type(e).__name__}: {e}"})
+        U.write_manifest(spark, root, manifest | {"error": f"{type(e).__name__}: {e}"})
         raise
-    U.write_manifest(root, manifest | {"finished_at": datetime.now(UTC).isoformat(timespec="seconds")})
+    U.write_manifest(spark, root, manifest | {"finished_at": datetime.now(UTC).isoformat(timespec="seconds")})
     return run_id
 
 
@@ -141,4 +141,4 @@ def publish(spark: SparkSession, root: str, pack: str, run_id: str, to: str) ->
     spec = PACKS[pack]
     S.split_by_position(rows.where(ok), "id", spec.fraction, spec.split).write.partitionBy("split").mode("overwrite").parquet(f"{to}/data")
     rows.where(~ok).write.mode("overwrite").parquet(f"{to}/failures")
-    Path(to, "report.json").write_text(json.dumps(summarize(spark, root, pack, run_id), sort_keys=True, default=str))
+    write_text(spark, f"{to}/report.json", json.dumps(summarize(spark, root, pack, run_id), sort_keys=True, default=str))

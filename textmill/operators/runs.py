@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import json
 from datetime import UTC, datetime
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import matches, write_text
+
 MANIFEST = "run_id string, pack string, spec_hash string, started_at string, finished_at string, error string, rows long"
 
 
@@ -30,15 +31,21 @@ def new_run_id(spec: Any, now: datetime | None = None) -> str:
     return f"{now:%Y%m%dT%H%M%SZ}-{tail}"
 
 
-def write_manifest(root: str, manifest: dict[str, Any]) -> Path:
-    """One JSON document for each run, in the run's own folder."""
-    folder = Path(root) / manifest["pack"] / manifest["run_id"]
-    folder.mkdir(parents=True, exist_ok=True)
-    path = folder / "manifest.json"
-    path.write_text(json.dumps(manifest, sort_keys=True, ensure_ascii=False))
+def write_manifest(spark: SparkSession, root: str, manifest: dict[str, Any]) -> str:
+    """One JSON document for each run, in the run's own folder, where the rows are."""
+    path = f"{root}/{manifest['pack']}/{manifest['run_id']}/manifest.json"
+    write_text(spark, path, json.dumps(manifest, sort_keys=True, ensure_ascii=False))
     return path
 
 
+def resolve(spark: SparkSession, root: str, run_id: str) -> str:
+    """The one folder of a run; none or several are an error."""
+    found = matches(spark, f"{root}/*/{run_id}")
+    if len(found) != 1:
+        raise ValueError(f"{len(found)} folders of run {run_id} below {root}")
+    return found[0]
+
+
 def manifests(spark: SparkSession, root: str) -> DataFrame:
     """All manifests under ``root`` as rows; packs and runs are folders."""
     return spark.read.schema(MANIFEST).json(f"{root}/*/*/manifest.json")

@@ -71,3 +71,19 @@ def settle(make: Callable[[], DataFrame], spark: SparkSession, label: str) -> Da
         _file_system(spark, folder).delete(folder, True)
     del _written[before:-1]
     return out
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of any Hadoop file system; what was there is replaced."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = _file_system(spark, target).create(target, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths of any Hadoop file system that a glob finds, in order."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return sorted(f.getPath().toString() for f in _file_system(spark, target).globStatus(target) or [])
