@@ -204,4 +204,15 @@ def test_rendering_round_trips(spark):
     assert json.loads(one(spark, raw, N.target(F.lit("json_object_source"), *args))) == {"source_language": "en", "target_language": "da", "source_text": "s", "translation": raw}
     assert one(spark, "a&<b>", N.target(F.lit("xml_tag"), *args)) == "<translation>a&amp;&lt;b&gt;</translation>"
     assert one(spark, raw, N.target(F.lit("plain"), *args)) == raw
+    import yaml
+
+    meta = {"source_language": "en", "target_language": "da"}
+    for mode, want in (("yaml_field", {}), ("yaml_field_meta", meta), ("yaml_field_source", meta | {"source_text": "s"})):
+        for t in (raw, "plain", "æ: ø # å", "- 1", "yes", "", "long " * 60):
+            got = one(spark, t, N.yaml_target(F.lit(mode), *args))
+            assert yaml.safe_load(got) == want | {"translation": t} and got == yaml.safe_dump(want | {"translation": t}, allow_unicode=True).strip()
+    assert one(spark, raw, N.yaml_target(F.lit("plain"), *args)) is None
+    assert one(spark, "Hej", N.prompt(F.lit("from_to"), text, F.lit("da"), F.lit("en"), F.lit("da"))) == "Fra dansk til engelsk. Returner kun oversættelsen.\n\nTekst:\nHej"
+    assert one(spark, "Hi", N.prompt(F.lit("minimal_output"), text, F.lit("en"), F.lit("da"))) == "English to Danish.\n\nOutput only the translated text.\n\nHi"
+    assert one(spark, "x", N.output_mode(F.lit("yaml_meta_output"))) == "yaml_field_meta"
     assert one(spark, "x", N.prompt_blocks([("Do:", F.array(F.lit("a"), F.lit("b")), True), (None, F.array(text), False)])) == "Do:\n1. a\n2. b\n\nx"

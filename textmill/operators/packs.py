@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import render as N
 from ..functions import text as T
+from ..functions.surfaces import STYLES
 from ..sources.shared import matches, write_text
 from . import checks as K
 from . import corpus as C
@@ -68,8 +69,13 @@ def build_translation(spark: SparkSession, cfg: dict[str, Any]) -> DataFrame:
     styles = list(cfg.get("template_styles", ["translate_into", "from_to"]))
     cycled = S.cycle(limited.withColumn("pool", F.lit("all")), ["pool"], "id", len(styles), "variant")
     style = F.element_at(F.array(*map(F.lit, styles)), (F.col("variant") + 1).cast("int"))
-    names = F.lit(cfg.get("source_name", "english")), F.lit(cfg.get("target_name", "danish"))
-    return cycled.select(F.concat(F.lit("translation-"), F.col("id").cast("string")).alias("id"), N.prompt(style, F.col("source_text"), *names).alias("prompt"), F.col("target_text").alias("target"), "origin")
+    langs = F.lit(cfg.get("source_language", "en")), F.lit(cfg.get("target_language", "da"))
+    asked = N.prompt(style, F.col("source_text"), *langs, F.lit(cfg.get("prompt_language", "en")))
+    answer = (N.output_mode(style), F.col("target_text"), F.col("source_text"), *langs)
+    made = N.target(*answer)
+    if any(STYLES[s].startswith("yaml_") for s in styles):
+        made = F.coalesce(N.yaml_target(*answer), made)
+    return cycled.select(F.concat(F.lit("translation-"), F.col("id").cast("string")).alias("id"), asked.alias("prompt"), made.alias("target"), "origin")
 
 
 STARTERS = {

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import parse as A
 from ..functions import render as N
+from ..functions.surfaces import NAMES, STYLES, WORDING
 from ..operators import puzzles as Z
 from ..operators import runs as U
 from ..operators import views as V
@@ -94,18 +95,33 @@ def render_targets(spark, sf_dir):
     return rows.select("item_id", "mode", N.target(F.col("mode"), F.col("text"), F.col("text"), F.lit("en"), F.lit("da")).alias("target"))
 
 
-@query(
-    "SELECT item_id, style, CASE style WHEN 'from_to' THEN 'Translate the text from english into danish.' || chr(10) || chr(10) || 'Text:' || chr(10) || text "
-    "WHEN 'translate_into' THEN 'Translate the text from english into danish.' || chr(10) || chr(10) || 'Reply with the translation only.' || chr(10) || chr(10) || 'Text:' || chr(10) || text "
-    "WHEN 'minimal_output' THEN 'English to Danish.' || chr(10) || chr(10) || text "
-    "WHEN 'marked_text_only' THEN 'Translate the text from english into danish.' || chr(10) || chr(10) || '<translate_me>' || chr(10) || text || chr(10) || '</translate_me>' "
-    f"ELSE 'Translate the text from english into danish.' || chr(10) || chr(10) || 'Payload:' || chr(10) || '{{\"text\": ' || {_sql_json('text')} || '}}' END AS prompt "
-    "FROM benchmark, (VALUES ('from_to'), ('translate_into'), ('minimal_output'), ('marked_text_only'), ('json_field_only')) m(style)"
-)
+def _sql_prompts() -> str:
+    """All styles in both languages by replacing marks in whole forms, which come from the wording alone."""
+    forms = []
+    for lang, say in WORDING.items():
+        names = NAMES[lang]
+        fill = lambda x: x.replace("{source_language}", names["en"]).replace("{target_language}", names["da"])  # noqa: B023, E731
+        head, other = (names[k][0].upper() + names[k][1:] for k in ("en", "da"))
+        named, block = f"{head} {say['suffix']}:\n@", f"{say['label']}:\n@"
+        fields = ", ".join(f'"{k}": ' + ("@j" if k == say["field"] else f'"{v}"') for k, v in sorted((say["payload"] | {say["field"]: ""}).items()))
+        special = {
+            "translate_into": (say["translate_into"], say["reply_only"], block), "from_to": (say["from_to"], block), "translator_role": (say["translator_role"], say["translator_role_rule"], named),
+            "strict_instructions": (say["strict_intro"], say["strict_rule"], named), "minimal_output": (f"{head} {say['arrow']} {other}.", say["output_only"], "@"),
+            "marked_text_only": (say["marked_text_only"], f"{say['note_before']}\n<translate_me>\n@\n</translate_me>\n{say['note_after']}"), "json_field_only": (say["json_field_only"], "Payload:\n{" + fields + "}"),
+        }
+        for style in STYLES:
+            parts = special.get(style) or (say["strict_intro"], say[style], named)
+            form = "\n\n".join(fill(x) for x in parts).replace("'", "''")
+            forms.append(f"('{lang}', '{style}', '{form}')")
+    return f"SELECT item_id, lang, style, replace(replace(form, '@j', {_sql_json('text')}), '@', text) AS prompt FROM benchmark, (VALUES {', '.join(forms)}) f(lang, style, form)"
+
+
+@query(_sql_prompts())
 def render_prompts(spark, sf_dir):
-    styles = F.array(*map(F.lit, ["from_to", "translate_into", "minimal_output", "marked_text_only", "json_field_only"]))
-    rows = read(spark, sf_dir, "benchmark").select("item_id", "text", F.explode(styles).alias("style"))
-    return rows.select("item_id", "style", N.prompt(F.col("style"), F.col("text"), F.lit("english"), F.lit("danish")).alias("prompt"))
+    """Benchmark items as texts to translate, in all styles and both languages."""
+    kinds = F.broadcast(spark.createDataFrame([(lang, style) for lang in WORDING for style in STYLES], "lang string, style string"))
+    rows = read(spark, sf_dir, "benchmark").select("item_id", "text").crossJoin(kinds)
+    return rows.select("item_id", "lang", "style", N.prompt(F.col("style"), F.col("text"), F.lit("en"), F.lit("da"), F.col("lang")).alias("prompt"))
 
 
 @query()
