@@ -153,7 +153,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score) of every row of ``docs`` (doc_id, text).
 
     The score is the predicted language's posterior with equal priors. Text that is null or
-    has no letter, and any text when nothing was learned, is ``und`` with score 0.
+    has no letter, and any text when nothing was learned, is ``und`` with score 0. Texts are
+    scored whole; a very long one goes through in pieces whose costs add up. Languages of
+    equal cost go to the first by name. Repeated rows are scored alike; extra columns are left
+    out; an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.levels, model.order))
 
@@ -194,7 +197,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def learn(train: DataFrame, order: int = ORDER) -> Model:
-    """Model of ``train`` (lang, text); rows with a null in either are left out.
+    """Model of ``train`` (lang, text); rows with a null in either are left out, repeated ones count each time.
 
     The counts cover every training row, and all of them come to the driver: one number for
     each language and byte sequence of order + 1, a set that the bytes of the languages bound.

@@ -306,7 +306,13 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, bin_width: int = BIN) -> Data
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
-    """Pieces of all rows of ``docs`` (doc_id, text) with their sequence and offset."""
+    """Pieces of all rows of ``docs`` (doc_id, text) with their sequence and offset.
+
+    A null or empty text is its end token alone. Texts of any length are cut into pieces of
+    ``capacity``, whole. Repeated rows are packed each on its own; pieces of equal length
+    and key may change places, which changes no sequence's length. Extra columns are left
+    out. An empty table gives no rows.
+    """
     return pack(stash(pieces(docs, tokenizer_path, capacity), "packing-pieces"), capacity).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
