@@ -41,6 +41,7 @@ KINDS = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.8, "phone|tel|call|mobile|fax"),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", "", 0.9, "iban|account|konto|compte|cuenta"),
     Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "-", 0.3, "ssn|social|security"),
+    Kind("secret", r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}+|gh[opsu]_[A-Za-z0-9]{36}|AKIA[0-9A-Z]{16}|sk-[A-Za-z0-9]{20,64}+)(?![A-Za-z0-9])", "", 0.3, "token|secret|key|passw|auth|credential"),
 )
 BASE = ("email", "ip", "card", "phone")
 CONTEXT, WINDOW, LEAST = 0.3, 40, 0.5
@@ -106,6 +107,8 @@ def _valid(kind: str, match: Column) -> Column:
         return F.when(F.length(account).between(15, 34), mod97(account)).otherwise(False)
     if kind == "ssn":
         return ~match.rlike("^(000|666|9)") & ~match.rlike("-00-|-0000$")
+    if kind == "secret":
+        return F.size(F.array_distinct(F.split(match, ""))) >= 8  # no filler of a few signs
     return F.lit(True)
 
 
@@ -218,4 +221,4 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(kind) for kind in BASE]
     base = F.filter("pii", lambda s: s.kind_order < len(BASE))
-    return got.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii")).alias("spans"))
+    return got.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii")).alias("spans"), F.size("pii").cast("long").alias("n_spans"))
