@@ -264,6 +264,41 @@ def test_a_family_of_copies_looks_beyond_itself():
     assert all(got[k] == f"{same} number {k}" for k in range(50)) and got[99].startswith("a another text")
 
 
+def families():
+    """Long families of near copies, of pages that drift, at either end of a host, and with keys that repeat."""
+    text = lambda words: "".join(f"<p>{x} {words}</p>" for x in "abcdef")
+    page = lambda host, body: f"<div>Menu of {host}</div><div>{body}</div><div>Imprint of {host}</div>"
+    rows = [("a", "/0", text("first of all"))]
+    rows += [("a", f"/1/{k:03d}", text("the same long text") + f"<p>number {k}</p>") for k in range(150)]
+    rows += [("a", "/2", text("between")), ("a", "/2", text("other text at this address"))]
+    rows += [("a", f"/3/{k:03d}", "".join(f"<p>entry {j} of the list</p>" for j in range(k, k + 12))) for k in range(60)]
+    rows += [("b", f"/{k:03d}", text("copies from the start")) for k in range(40)] + [("b", "/1", text("last"))]
+    rows += [("c", f"/{k:03d}", text("nothing but copies")) for k in range(40)]
+    # Two pages with one key; no id, no address.
+    ids = [150 if k == 151 else k for k in range(len(rows))]
+    ids[150:152] = [7, 7]
+    out = [(i, f"https://{host}.example{path}", page(host, body)) for i, (host, path, body) in zip(ids, rows)]
+    return [*out, (None, "https://a.example/1/075", page("a", text("the same long text"))), (None, None, None)]
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_families_over_the_edges_of_ranges_look_as_far_as_they_reach(spark, partitions):
+    docs = spark.createDataFrame(families(), "page_id long, url string, html string")
+    host, path = F.lower(F.regexp_extract("url", "//([^/]*)", 1)), F.regexp_extract("url", "//[^/]*(.*)", 1)
+    in_order = docs.orderBy(F.coalesce(host, F.lit("")), F.coalesce(path, F.lit("")), "page_id", F.xxhash64("html")).collect()
+    want = sorted(map(str, html_text.difference((0, True, *r) for r in in_order)))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    try:
+        got = [(r.page_id, r.url, r.text, r.shared_lines) for r in html_text.extract(docs.repartition(5)).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(map(str, got)) == want
+    # Only the host that is one family has no page that could show its frame.
+    assert [t for _, url, t, _ in got if "Menu" in t and "c.example" not in url] == []
+    assert sum("Menu" in t for _, _, t, _ in got) == 40
+
+
 def test_a_very_long_page_is_read_whole():
     lines = [f"line {k} of the long page" for k in range(20_000)]
     page = lambda own: "<div>Menu of the site</div><div>" + "".join(f"<p>{x}</p>" for x in own) + "</div>"

@@ -2,23 +2,28 @@
 
 Pages are sorted by host and path, so a page's neighbours are those whose URLs share the
 longest path with it. The page's text lines (blocks) are aligned with the nearest different
-page's by longest common subsequence; what both have is the site's, not the page's. Two votes
-decide on a line. Differencing: a part of the page (an element with parts of its own) most of
-whose text is shared is the site's frame and goes, with or without markup that says so, and
-outside an article element every shared line goes. Markup: lines in navigation, adverts,
-forms, comments and the like go in any case, which one pair of pages cannot show, and single
-shared lines inside an article's own part stay, since pages do quote the same sentences.
+page's by longest common subsequence; what both have is the site's, not the page's. Pages that
+follow each other, each a copy of the one before, are a family; their nearest different page
+is the one before or after the family, however long that is.
+
+Two votes decide on a line. Differencing: a part of the page (an element with parts of its
+own) most of whose text is shared is the site's frame and goes, with or without markup that
+says so, and outside an article element every shared line goes. Markup: lines in navigation,
+adverts, forms, comments and the like go in any case, which one pair of pages cannot show, and
+single shared lines inside an article's own part stay, since pages do quote the same sentences.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 import zlib
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +35,9 @@ from .common import bounded, table
 #: Share of either page's text that, found in the other, makes the two copies of one page; share
 #: of a part's text that, aligned with the neighbour's, makes it the site's frame.
 COPY, FRAME = 0.8, 0.5
-#: Pages beyond the edge of a range that the range also sees, to difference its own with.
-BESIDE_RANGE = 8
+#: Pages on either side of a range's edge that are looked at first for a family's end; where these
+#: are all one family, the whole ranges beside the edge are.
+NEAR_EDGE = 8
 #: Bits of alignment history held at once; longer pairs are halved first.
 HISTORY_BITS = 400_000_000
 
@@ -275,10 +281,30 @@ def copies(a: Page, b: Page) -> bool:
 
     Lines that markup drops do not count.
     """
-    own, other = ([x for x, m in zip(p.lines, p.marks) if m != "dropped"] for p in (a, b))
+    return _alike(_counted(a), _counted(b), len)
+
+
+def _counted(page: Page) -> list[str]:
+    return [x for x, m in zip(page.lines, page.marks) if m != "dropped"]
+
+
+def _alike(own: list, other: list, size: Callable[[Any], int]) -> bool:
+    """``copies`` of two lists of lines, or of what stands for lines, of the sizes given."""
     both = list((Counter(own) & Counter(other)).elements())
     most_lines = len(both) >= COPY * max(len(own), len(other))
-    return most_lines and sum(map(len, both)) >= COPY * max(sum(map(len, own)), sum(map(len, other)))
+    return most_lines and sum(map(size, both)) >= COPY * max(sum(map(size, own)), sum(map(size, other)))
+
+
+def digest(source: str | None) -> bytes:
+    """What ``copies`` needs of a page: 20 bytes a line, its hash and its length."""
+    lines = _counted(parse(source))
+    return b"".join(hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=16).digest() + len(x).to_bytes(4, "little") for x in lines)
+
+
+def copies_by_digest(a: bytes, b: bytes) -> bool:
+    """``copies`` of the pages with these digests."""
+    own, other = ([d[k : k + 20] for k in range(0, len(d), 20)] for d in (a, b))
+    return a == b or _alike(own, other, lambda x: int.from_bytes(x[16:], "little"))
 
 
 def host_and_path(url: str | None) -> tuple[str, list[str]]:
@@ -309,14 +335,15 @@ Row = tuple[int, bool, int | None, str | None, str | None]
 def difference(rows: Iterator[Row]) -> Iterator[tuple[int | None, str | None, str, int]]:
     """(page_id, url, text, shared lines) of the rows (range, inside, page_id, url, html) that are inside.
 
-    Rows come range by range, in each sorted by host and path. Pages that follow each other
-    and are copies of the first are a family: all are differenced with the last page before
-    the family or the first after it, whichever's URL is nearer. Of a family's pages only
-    compressed differences are held.
+    Rows come range by range, in each sorted by host and path. Pages that follow each other,
+    each a copy of the one before, are a family: all are differenced with the last page before
+    the family or the first after it, whichever's URL is nearer. Rows that are not inside are
+    the page before the range's first family and the one after its last, though these may
+    reach over the range's edges. Of a family's pages only compressed differences are held.
     """
     before: tuple[str, list[str], Page] | None = None
-    first: tuple[str, list[str], Page] | None = None
-    now, head = None, b""
+    last_page: tuple[str, list[str], Page] | None = None
+    now, own, head = None, False, b""
     members: list[tuple[int | None, str | None, bytes]] = []
 
     def pack(source: str) -> bytes:
@@ -324,7 +351,7 @@ def difference(rows: Iterator[Row]) -> Iterator[tuple[int | None, str | None, st
         return squeeze.compress(source.encode("utf-8", "surrogatepass")) + squeeze.flush()
 
     def settle(after: tuple[str, list[str], Page] | None) -> Iterator[tuple[int | None, str | None, str, int]]:
-        near = [x for x in (before, after) if x is not None and x[0] == first[0]]
+        near = [x for x in (before, after) if x is not None and x[0] == last_page[0]]
         last: tuple[bytes, list[str], tuple[str, int]] | None = None
         for page_id, url, packed in members:
             path = host_and_path(url)[1]
@@ -338,27 +365,38 @@ def difference(rows: Iterator[Row]) -> Iterator[tuple[int | None, str | None, st
         source = source or ""
         host, path = host_and_path(url)
         new = (host, path, parse(source))
-        if first is None or span != now or host != first[0] or not copies(first[2], new[2]):
-            if first is not None:
+        if last_page is None or span != now or not (own and inside) or host != last_page[0] or not copies(last_page[2], new[2]):
+            if last_page is not None:
                 yield from settle(new if span == now else None)
-            before = last_page if first is not None and span == now else None
-            first, members, now, head = new, [], span, source.encode("utf-8", "surrogatepass")[-32768:]
-        last_page = new
+            before = last_page if span == now else None
+            members, now, head = [], span, source.encode("utf-8", "surrogatepass")[-32768:]
+        last_page, own = new, inside
         if inside:
             members.append((page_id, url, pack(source)))
-    if first is not None:
+    if last_page is not None:
         yield from settle(None)
 
 
-def _edges(keys: DataFrame) -> list[tuple[list[tuple], list[tuple]]]:
-    """The first and the last BESIDE_RANGE keys (host, path, page_id) of every range, in order."""
+Key = tuple[bytes, bytes, int, int]
+#: A key and the hash of the page, which tells pages of equal keys apart.
+Exact = tuple[bytes, bytes, int, int, int]
+SORT = ["host", "path", "page_id", "tie"]
+
+
+def _key(host: str, path: str, page_id: int | None) -> Key:
+    """A key in the order that Spark sorts: by bytes, nulls first."""
+    return host.encode(), path.encode(), page_id is not None, page_id or 0
+
+
+def _ranges(keys: DataFrame) -> list[tuple[list[Key], list[Key]]]:
+    """The first and the last NEAR_EDGE keys (host, path, page_id) of every range, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, last = [], []
         for batch in batches:
             rows = batch.to_pylist()
-            first = (first + rows)[:BESIDE_RANGE]
-            last = (last + rows)[-BESIDE_RANGE:]
+            first = (first + rows)[:NEAR_EDGE]
+            last = (last + rows)[-NEAR_EDGE:]
         sides = [False] * len(first) + [True] * len(last)
         rows = first + last
         yield pa.RecordBatch.from_arrays(
@@ -370,24 +408,117 @@ def _edges(keys: DataFrame) -> list[tuple[list[tuple], list[tuple]]]:
     ranges = 4 * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = keys.repartitionByRange(ranges, "host", "path", "page_id").sortWithinPartitions("host", "path", "page_id")
     found = dealt.mapInArrow(run, "end boolean, host string, path string, page_id long").withColumn("part", F.spark_partition_id())
-    out: dict[int, tuple[list[tuple], list[tuple]]] = {}
+    out: dict[int, tuple[list[Key], list[Key]]] = {}
     for r in found.collect():
         out.setdefault(r.part, ([], []))[r.end].append(_key(r.host, r.path, r.page_id))
     return sorted(out.values())
 
 
-def _key(host: str, path: str, page_id: int | None) -> tuple[bytes, bytes, int, int]:
-    """A key in the order that Spark sorts: by bytes, nulls first."""
-    return host.encode(), path.encode(), page_id is not None, page_id or 0
+def _deal(keyed: DataFrame, kind: str, give: Callable[[Exact], list[dict]]) -> DataFrame:
+    """Every row once for each struct (of type ``kind``) that ``give`` makes of its key, with the struct's fields first."""
+
+    @F.arrow_udf(f"array<struct<{kind}>>")
+    def given(hosts: pa.Array, paths: pa.Array, ids: pa.Array, ties: pa.Array) -> pa.Array:
+        out = [give((*_key(h, p, i), t)) for h, p, i, t in zip(*(x.to_pylist() for x in (hosts, paths, ids, ties)))]
+        types = {"int": pa.int32(), "boolean": pa.bool_()}
+        return pa.array(out, pa.list_(pa.struct([(n, types[t]) for n, t in (x.split(":") for x in kind.split(","))])))
+
+    return keyed.withColumn("at", F.explode(given(*SORT))).select("at.*", "page_id", "url", "html", "host", "path", "tie")
+
+
+def _family_ends(keyed: DataFrame, give: Callable[[Exact], list[dict]]) -> dict[tuple[int, int, str], Exact]:
+    """Where families end in groups of pages that follow each other, dealt by ``give`` as (group, span).
+
+    Of each (group, span): the page before the last end inside the span ("last"), the page
+    after the first one ("first"), and the pages before and after an end between this span
+    and the next ("left", "right").
+    """
+    fields = (("host", pa.string()), ("path", pa.string()), ("page_id", pa.int64()), ("tie", pa.int64()))
+    names = ["group", "span", *SORT]
+
+    def brief(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([digest(x.as_py()) for x in batch.column("html")], pa.binary())
+            sites = pa.array([host_and_path(x.as_py())[0] for x in batch.column("url")], pa.string())
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), sites, found], names=[*names, "site", "lines"])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: dict | None = None
+        ends: dict[tuple[int, str], dict] = {}
+
+        def out() -> pa.RecordBatch:
+            rows = list(ends.items())
+            return pa.RecordBatch.from_arrays(
+                [pa.array([last["group"]] * len(rows), pa.int32()), pa.array([k[0] for k, _ in rows], pa.int32()), pa.array([k[1] for k, _ in rows], pa.string()),
+                 *(pa.array([r[n] for _, r in rows], t) for n, t in fields)],
+                names=["group", "span", "what", *SORT],
+            )
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                new = {n: batch.column(n)[k].as_py() for n in (*names, "site", "lines")}
+                if last is not None and new["group"] != last["group"]:
+                    yield out()
+                    ends = {}
+                elif last is not None and (new["site"] != last["site"] or not copies_by_digest(last["lines"], new["lines"])):
+                    span = last["span"]
+                    if new["span"] == span:
+                        ends[span, "last"] = last
+                        ends.setdefault((span, "first"), new)
+                    else:
+                        ends[span, "left"], ends[span, "right"] = last, new
+                last = new
+        if ends:
+            yield out()
+
+    briefs = bounded(_deal(keyed, "group:int,span:int", give)).mapInArrow(brief, "group int, span int, host string, path string, page_id long, tie long, site string, lines binary")
+    dealt = briefs.repartition("group").sortWithinPartitions("group", *SORT)
+    found = dealt.mapInArrow(scan, "group int, span int, what string, host string, path string, page_id long, tie long")
+    return {(r.group, r.span, r.what): (*_key(r.host, r.path, r.page_id), r.tie) for r in found.collect()}
+
+
+def _beside(keyed: DataFrame, ranges: list[tuple[list[Key], list[Key]]]) -> list[tuple[Exact | None, Exact | None]]:
+    """The page before every range's first family and the page after its last one, be they of another host.
+
+    Where a family reaches over an edge, it is followed through as many ranges as it has: the
+    pages near the edge are looked at first, and ranges whose pages near it are all of the
+    family as a whole. Pages go by as digests; keys alone come to the driver.
+    """
+    n = len(ranges)
+    begins = [first[0] for first, _ in ranges]
+    upto = [first[-1] for first, _ in ranges]
+    since = [last[0] for _, last in ranges]
+
+    def near_edges(key: Exact) -> list[dict]:
+        k = bisect_right(begins, key[:4]) - 1
+        out = [{"group": k, "span": k}] if k + 1 < n and key[:4] >= since[k] else []
+        return out + ([{"group": k - 1, "span": k}] if k and key[:4] <= upto[k] else [])
+
+    near = _family_ends(keyed, near_edges) if n > 1 else {}
+    open_edges = [k for k in range(n - 1) if (k, k, "left") not in near]
+    whole = {k for k, (first, last) in enumerate(ranges) if first == last}  # all its pages are near its edges
+    left_out = {k for k in open_edges if (k, k, "last") not in near} | {k + 1 for k in open_edges if (k, k + 1, "first") not in near}
+    left_out -= whole
+    far = _family_ends(keyed, lambda key: [{"group": k, "span": k}] if (k := bisect_right(begins, key[:4]) - 1) in left_out else []) if left_out else {}
+
+    before: list[Exact | None] = [None] * n
+    after: list[Exact | None] = [None] * n
+    for k in range(1, n):
+        got = near.get((k - 1, k - 1, "left")) or near.get((k - 1, k - 1, "last")) or far.get((k - 1, k - 1, "last"))
+        before[k] = got or before[k - 1]
+    for k in range(n - 2, -1, -1):
+        got = near.get((k, k, "right")) or near.get((k, k + 1, "first")) or far.get((k + 1, k + 1, "first"))
+        after[k] = got or after[k + 1]
+    return list(zip(before, after))
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars, shared_lines) of every row of ``pages`` (page_id, url, html).
 
     Pages are dealt by ranges of (host, path, page_id), so no task gets a whole host. The
-    ranges' edges are read from the keys alone; each range also gets the BESIDE_RANGE pages
-    before and after it, so its first and last pages have both their neighbours, unless these
-    are all copies of them. A null html is an empty page; a null url is a page of the
+    ranges' edges are read from the keys alone; each range also gets the nearest different page
+    before its first family and after its last one, wherever these are, so the result is that
+    of one range of all pages. A null html is an empty page; a null url is a page of the
     nameless host. Rows may repeat: equal pages are copies. A page of any length is read whole;
     the alignment of long pages is halved until its history fits in HISTORY_BITS. Extra columns
     are left out. An empty table gives no rows.
@@ -422,27 +553,20 @@ def extract(pages: DataFrame) -> DataFrame:
     keyed = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"),
         host.alias("host"), path.alias("path"),
-    )
-    edges = _edges(keyed.select("host", "path", "page_id"))
-    begins = [first[0] for first, _ in edges]
-    # What a range sees beyond itself begins and ends at a neighbour's edge page.
-    sees = [(edges[k - 1][1][0] if k else None, edges[k + 1][0][-1] if k + 1 < len(edges) else None) for k in range(len(edges))]
-
-    @F.arrow_udf("array<struct<span:int,inside:boolean>>")
-    def spans(hosts: pa.Array, paths: pa.Array, ids: pa.Array) -> pa.Array:
-        out = []
-        for key in map(_key, hosts.to_pylist(), paths.to_pylist(), ids.to_pylist()):
-            k = max(0, bisect_right(begins, key) - 1)
-            found = [{"span": k, "inside": True}]
-            if k + 1 < len(begins) and key >= sees[k + 1][0]:
-                found.append({"span": k + 1, "inside": False})
-            if k and key <= sees[k - 1][1]:
-                found.append({"span": k - 1, "inside": False})
-            out.append(found)
-        return pa.array(out, pa.list_(pa.struct([("span", pa.int32()), ("inside", pa.bool_())])))
-
-    dealt = keyed.withColumn("at", F.explode(spans("host", "path", "page_id"))).select("at.*", "page_id", "url", "html", "host", "path")
-    sorted_rows = dealt.repartition("span").sortWithinPartitions("span", "host", "path", "page_id").select("span", "inside", "page_id", "url", "html")
+    ).withColumn("tie", F.xxhash64(F.coalesce("html", F.lit(""))))
+    ranges = _ranges(keyed.select("host", "path", "page_id"))
+    begins = [first[0] for first, _ in ranges]
+    seen: dict[Exact, list[dict]] = {}
+    for k, sides in enumerate(_beside(keyed, ranges)):
+        for place, key in zip((-1, 1), sides):
+            if key:
+                seen.setdefault(key, []).append({"span": k, "place": place})
+
+    def spans(key: Exact) -> list[dict]:
+        return [{"span": max(0, bisect_right(begins, key[:4]) - 1), "place": 0}, *seen.get(key, [])]
+
+    dealt = _deal(keyed, "span:int,place:int", spans)
+    sorted_rows = dealt.repartition("span").sortWithinPartitions("span", "place", *SORT).select("span", F.col("place") == 0, "page_id", "url", "html")
     return bounded(sorted_rows).mapInArrow(run, "page_id long, url string, text string, n_chars long, shared_lines long")
 
 
